@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..errors import DatasetUnavailableError, PointInTimeError
 from ..functions import geo
 from ..functions.dates import cutoff, election_day
+from ..session import materialize
 from . import candidates as C
 from . import demographics as D
 from . import economics as E
@@ -64,12 +65,21 @@ class FeatureBuild:
     """A lazy modelling table with the lazy provenance of its families."""
 
     frame: DataFrame
-    families: DataFrame
     year: int
     office: str
     as_of: dt.date
     election_date: dt.date
-    _cached: DataFrame | None = None
+    _rows: Mapping[str, DataFrame | None]
+
+    @cached_property
+    def families(self) -> DataFrame:
+        """Provenance of every family, one row each, as one plan."""
+        spark = self.frame.sparkSession
+        notes = {"targets": "labels, not filtered by as_of"}
+        return reduce(
+            DataFrame.unionByName,
+            [family_provenance(f, r, spark, notes.get(f, "")) for f, r in self._rows.items()],
+        )
 
     def missingness(self) -> DataFrame:
         return missingness(self.frame)
@@ -77,11 +87,6 @@ class FeatureBuild:
     def audit(self) -> DataFrame:
         return audit_families(self.families, self.as_of)
 
-    def close(self) -> None:
-        """Release the cached race summaries."""
-        if self._cached is not None:
-            self._cached.unpersist()
-
 
 def race_universe(
     office: str,
@@ -315,7 +320,6 @@ def build_features(
     *,
     states: Sequence[str] | None = None,
     strict: bool = False,
-    cache: bool = True,
     summary: DataFrame | None = None,
 ) -> FeatureBuild:
     """The modelling table for ``office`` races of ``year`` as of a date (the day
@@ -324,7 +328,9 @@ def build_features(
     Every family is reduced to one row per race or state before it is joined, so
     the joins are between small frames and the optimizer broadcasts whichever side
     it has measured to be small. Labels are attached unfiltered. ``strict``
-    runs the leakage audit now and raises on a violation.
+    runs the leakage audit now and raises on a violation. Pass the stored
+    ``summary`` of all races where there is one; else it is computed and kept in
+    the scratch folder.
     """
     office = office.lower()
     if office not in OFFICES:
@@ -334,12 +340,9 @@ def build_features(
     day = election_day(year)
     cut = cutoff(as_of) if as_of is not None else day - dt.timedelta(days=1)
     key = C.race_key(office)
-    cached = None
     if summary is None:
-        summary = L.race_summary(tables["election_results"])
-        if cache:
-            # Read four times below; one row per race.
-            summary = cached = summary.persist()
+        # Read many times below, one row per race: computed once, then re-read.
+        summary = materialize(L.race_summary(tables["election_results"]), "race-summary")
     spark = summary.sparkSession
     get = tables.get
 
@@ -361,7 +364,7 @@ def build_features(
 
     target = L.regular_races(summary, office).where(F.col("year") == year)
     labels = target.select(*key, *[c for c in TARGET_COLUMNS if c in target.columns])
-    per_race = [labels, history_before(summary, races, year, office, cut)]
+    per_race = [labels]
     per_state: list[DataFrame] = []
     scalars: list[DataFrame] = []
 
@@ -404,19 +407,16 @@ def build_features(
     if (table := get("religion")) is not None:
         per_state.append(religion_latest(table, cut))
 
-    for part in per_race:
-        frame = frame.join(part, key, "left")
     for part in per_state:
         frame = frame.join(part, "state", "left")
-    for part in scalars:
-        frame = attach_scalars(frame, part)
+    for part in per_race:
+        frame = frame.join(part, key, "left")
+    frame = attach_scalars(frame, *scalars)
+    # The history has by far the deepest plan: joined last, it is analyzed once.
+    frame = frame.join(history_before(summary, races, year, office, cut), key, "left")
 
     rows = family_rows(tables, summary, year, office, cut)
-    notes = {"targets": "labels, not filtered by as_of"}
-    families = reduce(
-        DataFrame.unionByName,
-        [family_provenance(f, r, spark, notes.get(f, "")) for f, r in rows.items()],
-    )
+    build = FeatureBuild(frame, year, office, cut, day, rows)
     if strict:
-        verify_no_leakage(families, cut)
-    return FeatureBuild(frame, families, year, office, cut, day, cached)
+        verify_no_leakage(build.families, cut)
+    return build

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import cutoff
@@ -22,13 +22,14 @@ def in_window(
     days: int,
     date_col: str = "end_date",
     publication_col: str = "publication_date",
-) -> Column:
-    """Released by ``as_of`` and dated within the ``days`` days up to it."""
+) -> str:
+    """Condition: released by ``as_of`` and dated within the ``days`` days up to it."""
     last = cutoff(as_of)
     first = last - dt.timedelta(days=days)
-    day = F.col(date_col)
-    inside = (day > F.lit(first)) & (day <= F.lit(last))
-    return F.coalesce(inside & (F.col(publication_col) <= F.lit(last)), F.lit(False))
+    return (
+        f"coalesce({date_col} > date'{first}' and {date_col} <= date'{last}' "
+        f"and {publication_col} <= date'{last}', false)"
+    )
 
 
 def poll_window(df: DataFrame, as_of: AsOf, days: int, date_col: str = "end_date") -> DataFrame:
@@ -55,7 +56,7 @@ def approval_features(approval: DataFrame, as_of: AsOf) -> DataFrame:
     return rows.agg(
         *[value.alias(name) for name, value in means.items()],
         previous.alias("_previous"),
-        F.count_if(in_window(as_of, 30)).alias("n_approval_polls_30d"),
+        F.expr(f"count_if({in_window(as_of, 30)})").alias("n_approval_polls_30d"),
     ).select(
         *means,
         (F.col("approval_average_30d") - F.col("_previous")).alias("approval_change_30d"),
@@ -79,7 +80,7 @@ def generic_ballot_features(generic: DataFrame, as_of: AsOf) -> DataFrame:
     return rows.agg(
         *[value.alias(name) for name, value in means.items()],
         previous.alias("_previous"),
-        F.count_if(month).alias("n_generic_polls_30d"),
+        F.expr(f"count_if({month})").alias("n_generic_polls_30d"),
     ).select(
         *means,
         (F.col("generic_margin_30d") - F.col("_previous")).alias("generic_change_30d"),
@@ -110,7 +111,7 @@ def race_poll_features(
         rows = rows.where(F.col(column).isNotNull())
     week, month = in_window(as_of, 7), in_window(as_of, 30)
     values = {"margin": "poll_margin", "dem": "dem_pct", "rep": "rep_pct"}
-    in_month = F.count_if(month)
+    in_month = F.expr(f"count_if({month})")
     windows = rows.groupBy(*key).agg(
         *[
             weighted_mean(column, weight, month).alias(f"_month_{name}")
@@ -118,7 +119,7 @@ def race_poll_features(
         ],
         weighted_mean("poll_margin", weight, week).alias("polling_average_7d"),
         in_month.alias("number_recent_polls"),
-        F.when(in_month > 1, F.stddev_samp(F.when(month, F.col("poll_margin")))).alias(
+        F.when(in_month > 1, F.expr(f"stddev_samp(if({month}, poll_margin, null))")).alias(
             "polling_uncertainty"
         ),
         F.max("end_date").alias("_last_end"),
@@ -130,7 +131,7 @@ def race_poll_features(
     )
     fallback = last_polls.groupBy(*key).agg(
         *[
-            weighted_mean(column, weight, F.lit(True)).alias(f"_last_{name}")
+            weighted_mean(column, weight).alias(f"_last_{name}")
             for name, column in values.items()
         ]
     )
@@ -161,8 +162,8 @@ def special_election_swing(specials: DataFrame, as_of: AsOf) -> DataFrame:
     rows = filter_as_of(specials, as_of)
     return rows.agg(
         *[
-            F.avg(
-                F.when(in_window(as_of, days, "election_date"), F.col("special_election_swing"))
+            F.expr(
+                f"avg(if({in_window(as_of, days, 'election_date')}, special_election_swing, null))"
             ).alias(f"special_election_swing_{days}d")
             for days in SPECIAL_DAYS
         ]

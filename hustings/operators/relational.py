@@ -56,15 +56,15 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Add the columns of a frame that is an aggregate without keys, hence one
-    row, as a scalar subquery: computed once, no join."""
-    names = one_row.columns
-    value = one_row.select(F.struct(*names).alias("v")).scalar()
-    kept = [c for c in df.columns if c not in names]
-    return df.withColumn("_scalars", value).select(
-        *kept, *[F.col(f"_scalars.{name}").alias(name) for name in names]
-    )
+def attach_scalars(df: DataFrame, *one_rows: DataFrame) -> DataFrame:
+    """Add the columns of frames that are aggregates without keys, hence one row
+    each, as scalar subqueries: computed once, no join."""
+    values, columns = [], []
+    for number, one_row in enumerate(one_rows):
+        box = f"_scalars_{number}"
+        values.append(one_row.select(F.struct(*one_row.columns).alias("v")).scalar().alias(box))
+        columns += [F.col(f"{box}.{name}").alias(name) for name in one_row.columns]
+    return df.select("*", *values).select(*df.columns, *columns)
 
 
 def null_safe_join(
@@ -145,8 +145,9 @@ def asof_join(
     return left.join(answer, [*by, left_time], "left")
 
 
-def weighted_mean(value: str, weight: str | None, when: Column) -> Column:
-    """Weighted mean of the rows selected by ``when``, as one aggregate.
+def weighted_mean(value: str, weight: str | None, when: str = "true") -> Column:
+    """Weighted mean of the rows meeting the SQL condition ``when``, as one
+    aggregate expression.
 
     Missing weights count as the median weight (1 if that is 0), weights below
     1 as 1, missing values as the plain mean of the present ones. Without any
@@ -154,28 +155,25 @@ def weighted_mean(value: str, weight: str | None, when: Column) -> Column:
     are sums, so everything but the median combines before the shuffle; the
     median's buffer grows with the number of distinct weights only.
     """
-    v = F.when(when, F.col(value).cast("double"))
-    mean = F.avg(v)
+    v = f"if({when}, cast({value} as double), null)"
     if weight is None:
-        return mean
-    w = F.when(when, F.col(weight).cast("double"))
-    clipped = F.when(w.isNotNull(), F.greatest(w, F.lit(1.0)))
-    no_weight = when & w.isNull()
-
-    def total(term: Column) -> Column:
-        return F.coalesce(F.sum(term), F.lit(0.0))
-
-    middle = F.median(w)
-    stand_in = F.greatest(
-        F.when(middle.isNull() | (middle == 0), F.lit(1.0)).otherwise(middle), F.lit(1.0)
+        return F.expr(f"avg({v})")
+    w = f"if({when}, cast({weight} as double), null)"
+    clipped = f"if({w} is null, null, greatest({w}, 1d))"
+    no_weight = f"({when}) and {weight} is null"
+    stand_in = f"if(coalesce(median({w}), 0d) = 0, 1d, greatest(median({w}), 1d))"
+    weighted = (
+        f"coalesce(sum({v} * {clipped}), 0d)"
+        f" + avg({v}) * coalesce(sum(if({v} is null, {clipped}, null)), 0d)"
     )
-    weighted = total(v * clipped) + mean * total(F.when(v.isNull(), clipped))
-    unweighted = total(F.when(no_weight, v)) + mean * F.count_if(no_weight & v.isNull())
-    mass = total(clipped) + stand_in * F.count_if(no_weight)
-    return (
-        F.when(F.count(v) == 0, F.lit(None).cast("double"))
-        .when(F.count(w) == 0, mean)
-        .otherwise((weighted + stand_in * unweighted) / mass)
+    unweighted = (
+        f"coalesce(sum(if({no_weight}, {v}, null)), 0d)"
+        f" + avg({v}) * count_if({no_weight} and {value} is null)"
+    )
+    mass = f"coalesce(sum({clipped}), 0d) + {stand_in} * count_if({no_weight})"
+    return F.expr(
+        f"case when count({v}) = 0 then null when count({w}) = 0 then avg({v}) "
+        f"else ({weighted} + {stand_in} * ({unweighted})) / ({mass}) end"
     )
 
 

@@ -418,11 +418,10 @@ def _(t: Tables):
     "weighted weighted_some plain",
 )
 def _(t: Tables):
-    every = F.lit(True)
     return t("polls").groupBy("state", "office").agg(
-        weighted_mean("dem_pct", "sample_size", every).alias("weighted"),
-        weighted_mean("dem_pct", "sample_size", F.col("id") % 5 > 1).alias("weighted_some"),
-        weighted_mean("dem_pct", None, every).alias("plain"),
+        weighted_mean("dem_pct", "sample_size").alias("weighted"),
+        weighted_mean("dem_pct", "sample_size", "id % 5 > 1").alias("weighted_some"),
+        weighted_mean("dem_pct", None).alias("plain"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     # The optimizer re-plans from real shuffle sizes: it coalesces small
@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Recording the Python line of every Column slows down the building of wide plans.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 
@@ -46,3 +48,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return f"{base.rstrip('/')}/hustings/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the shared scratch folder and read it back.
+
+    Cuts the lineage: what follows plans against a small Parquet table, and a
+    lost executor costs a re-read instead of the whole computation.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
