@@ -14,7 +14,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ratio
-from .relational import asof_join
 
 FIRST_YEAR = 1980
 # Years back to the comparable election, seats needed to control
@@ -146,21 +145,35 @@ def chamber_control(seats: DataFrame, chamber: str) -> DataFrame:
     )
 
 
-def seat_holders(races: DataFrame, seat: Sequence[str], years: DataFrame) -> DataFrame:
+def seat_holders(races: DataFrame, seat: Sequence[str]) -> DataFrame:
     """Seats by party per year when a seat is held by the winner of its last
-    election. ``races``: the seat columns, year, winner_party."""
-    seats = races.select(*seat).distinct()
-    grid = seats.withColumn(
-        "year", F.explode(years.agg(F.array_sort(F.collect_set("year"))).scalar())
+    election. ``races``: the seat columns, year, winner_party.
+
+    An election moves one seat from the earlier winner's party to the new one's.
+    The moves are summed per year and party, and their running sum is the number
+    of seats held: no grid of seats and years is built.
+    """
+    earlier = F.lag("winner_party").over(W.partitionBy(*seat).orderBy("year"))
+    moves = races.withColumn("_earlier", earlier).select(
+        "year",
+        F.explode(
+            F.array(
+                F.struct(F.col("winner_party").alias("party"), F.lit(1).alias("n")),
+                F.struct(F.col("_earlier").alias("party"), F.lit(-1).alias("n")),
+            )
+        ).alias("m"),
     )
-    held = asof_join(
-        grid,
-        races.select(*seat, F.col("year").alias("won_in"), "winner_party"),
-        list(seat), "year", "won_in", strict=False,
-    ).where(F.col("winner_party").isNotNull())
-    return held.groupBy("year", F.col("winner_party").alias("party")).agg(
-        F.count(F.lit(1)).alias("seats")
+    net = moves.where(F.col("m.party").isNotNull()).groupBy(
+        "year", F.col("m.party").alias("party")
+    ).agg(F.sum("m.n").alias("n"))
+    # From here on there is one row per year and party.
+    parties = net.agg(F.collect_set("party")).scalar()
+    every = net.select("year").distinct().withColumn("party", F.explode(parties))
+    years = W.partitionBy("party").orderBy("year")
+    held = every.join(net, ["year", "party"], "left").withColumn(
+        "seats", F.sum(F.coalesce("n", F.lit(0))).over(years)
     )
+    return held.where(F.col("seats") > 0).select("year", "party", "seats")
 
 
 def last_contested(shares: DataFrame, office: str, year: int) -> DataFrame:

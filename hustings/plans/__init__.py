@@ -1,6 +1,6 @@
 """Registered queries over the derived canonical tables."""
 
-from . import basics, core, ingest, rules  # noqa: F401
+from . import basics, core, explorer, ingest, rules, surface  # noqa: F401
 from .registry import QUERIES
 
 __all__ = ["QUERIES"]

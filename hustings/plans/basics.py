@@ -9,7 +9,6 @@ from ..functions import dates as DT
 from ..functions import geo
 from ..functions import scalars as S
 from ..functions.parties import normalize_party
-from ..operators import elections as L
 from ..operators.relational import (
     asof_join,
     attach_scalars,
@@ -21,7 +20,7 @@ from ..operators.relational import (
 from . import feeds
 from .bridge import AS_OF
 from .checks import T
-from .ingest import _district, _election_day, _party
+from .ingest import _election_day, _party
 from .registry import Tables, query
 
 _SPELLINGS = "Pennsylvania,PA,pa,42, new  york ,d.c.,USA,national,6,06,006,Atlantis,Puerto Rico"
@@ -371,12 +370,12 @@ def _(t: Tables):
 
 @query(
     "agg02_sum_of_nothing_is_null",
-    "select user_id, sum(case when event_type = 'purchase' and event_id % 9 = 0 then event_id end) as s from events group by 1",
+    "select user_id, cast(sum(case when event_type = 'signup' and value > 90 then event_id end) as bigint) as s from events group by 1",
 )
 def _(t: Tables):
-    picked = (F.col("event_type") == "purchase") & (F.col("event_id") % 9 == 0)
+    picked = (F.col("event_type") == "signup") & (F.col("value") > 90)
     total = F.sum(F.when(picked, F.col("event_id")))
-    return t.base("events").groupBy("user_id").agg(total.cast("decimal(38,0)").alias("s"))
+    return t.base("events").groupBy("user_id").agg(total.alias("s"))
 
 
 @query(
@@ -610,6 +609,3 @@ def _(t: Tables):
         F.lit("x").alias("constant"),
         (F.col("c_acctbal") * 2).alias("doubled"),
     )
-
-
-__all__ = ["L", "_district"]

@@ -16,7 +16,7 @@ from ..operators import turnout as TO
 from ..operators.relational import weighted_mean
 from ..schema import enforce_schema
 from .bridge import AS_OF, YEAR
-from .checks import RACE, T, newest, weighted, window
+from .checks import RACE, T, history, newest, weighted, window
 from .registry import Tables, query
 
 SHARES = (
@@ -236,25 +236,19 @@ def _(t: Tables):
     return L.presidential_lean(L.race_summary(t("election_results")))
 
 
-def _history_oracle(office: str) -> str:
-    from .checks import history
-
-    return history("races", office)
-
-
 for _office in ("president", "senate", "house"):
 
     @query(
         f"ele05_previous_same_office_{_office}",
         f"""select state, district, office, year, prev_dem_share as prev_dem_two_party_share, prev_dem_vote_share,
         prev_rep_share as prev_rep_vote_share, prev_margin as prev_dem_rep_margin, prev_winner_party,
-        prev_total_candidate_votes, prev_election_year from ({_history_oracle(_office)}) h""",
+        prev_total_candidate_votes, prev_election_year from ({history('races', _office)}) h""",
         "prev_dem_two_party_share prev_dem_vote_share prev_rep_vote_share prev_dem_rep_margin",
     )
     def _(t: Tables, office=_office):
         return L.previous_same_office(L.race_summary(t("election_results")), office)
 
-    @query(f"ele06_political_history_{_office}", _history_oracle(_office), HISTORY)
+    @query(f"ele06_political_history_{_office}", history('races', _office), HISTORY)
     def _(t: Tables, office=_office):
         return L.political_history(L.race_summary(t("election_results")), office)
 
@@ -414,13 +408,13 @@ def _(t: Tables):
     "pol06_weighted_mean",
     f"""select state, office, {weighted('dem_pct', 'sample_size', 'true')} as weighted,
     {weighted('dem_pct', 'sample_size', 'event_free')} as weighted_some, avg(dem_pct) as plain
-    from (select *, id % 5 > 1 as event_free from polls) p group by state, office""",
+    from (select *, end_date > date '2000-09-10' as event_free from polls) p group by state, office""",
     "weighted weighted_some plain",
 )
 def _(t: Tables):
     return t("polls").groupBy("state", "office").agg(
         weighted_mean("dem_pct", "sample_size").alias("weighted"),
-        weighted_mean("dem_pct", "sample_size", "id % 5 > 1").alias("weighted_some"),
+        weighted_mean("dem_pct", "sample_size", "end_date > date'2000-09-10'").alias("weighted_some"),
         weighted_mean("dem_pct", None).alias("plain"),
     )
 
@@ -449,8 +443,6 @@ FEATURE_RATIOS = " ".join(
 
 
 def features_oracle(office: str) -> str:
-    from .checks import history
-
     house = office == "house"
     key = "state, district" if house else "state"
     races = f"select distinct state, {'district' if house else chr(39) + 'statewide' + chr(39) + ' as district'} from races where year = {YEAR} and office = '{office}' and not special"
@@ -461,10 +453,6 @@ def features_oracle(office: str) -> str:
         "turnout_before", "acs", "density", "urban", "jobs", "industry_mix",
         "(select * rename (population as state_economy_population) from accounts)", "scores", "faith",
     ]
-    sql = f"""
-select r.state, r.district, cast({YEAR} as bigint) as year, '{office}' as office, n.state_fips,
-  date '2000-11-07' as election_date, {T} as as_of,
-  columns(c -> c not in ('state', 'district', 'state_fips', 'year', 'office')) from x"""
     joins = f"({races}) r left join (select state, state_fips from state_names) n using (state)"
     joins += f" left join (select {key}, {targets} from races where year = {YEAR} and office = '{office}' and not special) t using ({key})"
     joins += f" left join ({hist}) h using ({key})"
@@ -582,7 +570,7 @@ def _(t: Tables):
 @query(
     "fea07_history_of_upcoming_races",
     f"""select * exclude (year, office, election_date) from (
-    {__import__('hustings.plans.checks', fromlist=['history']).history('before', 'house')}) h where year = {YEAR}""",
+    {history('before', 'house')}) h where year = {YEAR}""",
     HISTORY,
 )
 def _(t: Tables):

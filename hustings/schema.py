@@ -325,12 +325,16 @@ def table_spec(name: str) -> TableSpec:
         raise NormalizationError(f"no canonical table named {name!r}") from exc
 
 
-def enforce_schema(df: DataFrame, table: str | TableSpec, *, strict: bool = True) -> DataFrame:
+def enforce_schema(
+    df: DataFrame, table: str | TableSpec, *, strict: bool = True, stored: bool = False
+) -> DataFrame:
     """Coerce a frame to its table in one projection.
 
     Missing optional columns become NULL, missing required ones raise when
     ``strict``, further columns are dropped, values that do not convert become
-    NULL, and the columns take the table's order.
+    NULL, and the columns take the table's order. ``stored`` marks rows that have
+    been through this before: columns of the right type pass as they are, so that
+    filters on them still reach the scan.
     """
     spec = table if isinstance(table, TableSpec) else table_spec(table)
     have = {field.name: field.dataType for field in df.schema}
@@ -341,7 +345,9 @@ def enforce_schema(df: DataFrame, table: str | TableSpec, *, strict: bool = True
     for field in spec.schema:
         if field.name not in have:
             value = F.lit(None).cast(field.dataType)
-        elif have[field.name] == field.dataType and field.dataType != T.DoubleType():
+        elif have[field.name] == field.dataType and (
+            stored or field.dataType != T.DoubleType()  # NaN becomes NULL
+        ):
             value = F.col(field.name)
         elif field.dataType == T.BooleanType() and have[field.name] != T.StringType():
             value = F.col(field.name).try_cast("boolean")

@@ -67,11 +67,10 @@ class Lake:
         spec = table_spec(table)
         rows = enforce_schema(df, spec).withColumn("dataset_id", F.lit(dataset_id))
         parts = ["dataset_id", "retrieval_date"] if spec.snapshots else ["dataset_id"]
-        # Rows of one partition come from many tasks; each would open a file per
-        # partition, so tasks are aligned with partitions but spread by key.
-        spread = [c for c in spec.key if c in rows.columns][:2]
+        # Rebalancing gathers each output partition into few files and splits the
+        # ones that are too big, from measured sizes: a hot partition stays parallel.
         (
-            rows.repartition(*parts, *spread)
+            rows.hint("rebalance", *parts)
             .write.mode("overwrite")
             .option("compression", "zstd")
             .option("partitionOverwriteMode", "dynamic")
@@ -119,7 +118,7 @@ class Lake:
             if missing_ok:
                 return spec.empty(self.spark)
             raise DatasetUnavailableError(f"table {table!r} has no processed data yet")
-        return enforce_schema(self.spark.read.schema(spec.schema).parquet(path), spec)
+        return enforce_schema(self.spark.read.schema(spec.schema).parquet(path), spec, stored=True)
 
     def loaded_tables(self) -> dict[str, DataFrame]:
         return {name: self.read_table(name) for name in self.tables()}
