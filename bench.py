@@ -25,7 +25,7 @@ HEADLINE = (
     "fea01_build_features_senate",
     "dq12_validate_table",
     "nrm01_normalize_returns",
-    "join04_asof_inclusive_bucketed",
+    "join04_asof_inclusive",
     "api08_results_by_race",
     "exp03_national_totals_president",
 )

@@ -36,7 +36,13 @@ def top_per_key(
     """
     ordering = list(order)
     if tie_break:
-        ordering.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c not in keys]))
+        # Maps have no defined hash; every other column takes part.
+        others = [
+            F.col(f"`{field.name}`")
+            for field in df.schema
+            if field.name not in keys and "map<" not in field.dataType.simpleString()
+        ]
+        ordering += [F.xxhash64(*others)] if others else []
     rank = rank_col or "_rank"
     ranked = df.withColumn(rank, F.row_number().over(W.partitionBy(*keys).orderBy(*ordering)))
     kept = ranked.where(F.col(rank) <= n)

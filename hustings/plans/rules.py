@@ -199,22 +199,30 @@ def _(t: Tables):
 
 @query(
     "dq14_row_count_drift",
-    """select dataset, run_id, case when abs((row_count - p) / p) > 0.25 then concat('row count changed ',
+    """select dataset, case when abs((row_count - p) / p) > 0.25 then concat('row count changed ',
       case when row_count >= p then '+' else '' end, cast(cast(round_even((row_count - p) * 100.0 / p, 0) as bigint) as varchar),
       '% versus previous run (', p, ' -> ', row_count, ')') end as message
-    from (select dataset, run_id, row_count, nullif(lag(row_count) over (partition by dataset order by started_at, run_id), 0) as p
-      from ingestion_runs where status = 'success') r""",
+    from (select dataset, max(case when rn = 1 then row_count end) as row_count, nullif(max(case when rn = 2 then row_count end), 0) as p
+      from (select *, row_number() over (partition by dataset order by started_at desc, run_id desc) as rn
+        from ingestion_runs where status = 'success') r group by dataset) x""",
 )
 def _(t: Tables):
-    from pyspark.sql import Window as W
-
-    runs = t("ingestion_runs").where(F.col("status") == "success")
-    # A dataset's runs are few next to its rows; the manifest is small by nature.
-    before = F.lag("row_count").over(W.partitionBy("dataset").orderBy("started_at", "run_id"))
-    message = Q.row_count_drift(F.col("previous"), F.col("row_count"))
-    return runs.withColumn("previous", F.nullif(before, F.lit(0))).select(
-        "dataset", "run_id", message.alias("message")
+    from ..operators.relational import top_per_key
+
+    runs = t("ingestion_runs").where(F.col("status") == "success").select(
+        "dataset", "started_at", "run_id", "row_count"
+    )
+    order = [F.desc("started_at"), F.desc("run_id")]
+    last_two = top_per_key(runs, ["dataset"], order, 2, tie_break=False, rank_col="place")
+
+    def rows_of(place: int):
+        return F.max(F.when(F.col("place") == place, F.col("row_count")))
+
+    pairs = last_two.groupBy("dataset").agg(
+        rows_of(1).alias("now"), F.nullif(rows_of(2), F.lit(0)).alias("before")
     )
+    message = Q.row_count_drift(F.col("before"), F.col("now"))
+    return pairs.select("dataset", message.alias("message"))
 
 
 @query(
