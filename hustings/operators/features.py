@@ -73,13 +73,7 @@ class FeatureBuild:
 
     @cached_property
     def families(self) -> DataFrame:
-        """Provenance of every family, one row each, as one plan."""
-        spark = self.frame.sparkSession
-        notes = {"targets": "labels, not filtered by as_of"}
-        return reduce(
-            DataFrame.unionByName,
-            [family_provenance(f, r, spark, notes.get(f, "")) for f, r in self._rows.items()],
-        )
+        return families_provenance(self._rows, self.frame.sparkSession)
 
     def missingness(self) -> DataFrame:
         return missingness(self.frame)
@@ -259,6 +253,15 @@ def family_provenance(family: str, rows: DataFrame | None, spark, note: str = ""
     )
 
 
+def families_provenance(rows: Mapping[str, DataFrame | None], spark) -> DataFrame:
+    """Provenance of every family, one row each, as one plan."""
+    notes = {"targets": "labels, not filtered by as_of"}
+    return reduce(
+        DataFrame.unionByName,
+        [family_provenance(name, df, spark, notes.get(name, "")) for name, df in rows.items()],
+    )
+
+
 def audit_families(families: DataFrame, as_of: AsOf) -> DataFrame:
     """Per family: available or not, last publication day, and whether anything
     in it (labels aside) came out after the cut."""
@@ -289,9 +292,26 @@ def missingness(df: DataFrame) -> DataFrame:
     )
 
 
+def audit_features(
+    tables: Mapping[str, DataFrame], year: int, office: str, as_of: AsOf | None = None
+) -> DataFrame:
+    """The audit of a build without assembling its frame."""
+    cut = cutoff(as_of) if as_of is not None else election_day(year) - dt.timedelta(days=1)
+    summary = _race_summaries(tables)
+    rows = family_rows(tables, summary, year, office, cut)
+    return audit_families(families_provenance(rows, summary.sparkSession), cut)
+
+
 # -------------------------------------------------------------------- assembly
 
 
+def _race_summaries(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Computed once and kept in the scratch folder: one row per race."""
+    if "election_results" not in tables:
+        raise DatasetUnavailableError("no election results loaded")
+    return materialize(L.race_summary(tables["election_results"]), "race-summary")
+
+
 def family_rows(
     tables: Mapping[str, DataFrame], summary: DataFrame, year: int, office: str, as_of: AsOf
 ) -> dict[str, DataFrame | None]:
@@ -335,14 +355,11 @@ def build_features(
     office = office.lower()
     if office not in OFFICES:
         raise ValueError(f"office must be one of {OFFICES}")
-    if "election_results" not in tables and summary is None:
-        raise DatasetUnavailableError("no election results loaded")
     day = election_day(year)
     cut = cutoff(as_of) if as_of is not None else day - dt.timedelta(days=1)
     key = C.race_key(office)
     if summary is None:
-        # Read many times below, one row per race: computed once, then re-read.
-        summary = materialize(L.race_summary(tables["election_results"]), "race-summary")
+        summary = _race_summaries(tables)
     spark = summary.sparkSession
     get = tables.get
 

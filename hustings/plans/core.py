@@ -518,9 +518,8 @@ def _(t: Tables):
     return X.family_provenance("labor", pit.filter_as_of(t("labor"), AS_OF), t.spark)
 
 
-def _family(t: Tables):
-    tables = t.many(FEATURE_TABLES)
-    return X.build_features(tables, YEAR, "senate", AS_OF)
+def _audit(t: Tables):
+    return X.audit_features(t.many(FEATURE_TABLES), YEAR, "senate", AS_OF)
 
 
 def _audit_oracle() -> str:
@@ -544,7 +543,7 @@ def _audit_oracle() -> str:
 
 @query("fea05_audit_features", _audit_oracle())
 def _(t: Tables):
-    return _family(t).audit()
+    return _audit(t)
 
 
 @query(
@@ -552,7 +551,7 @@ def _(t: Tables):
     f"select * from ({_audit_oracle()}) a where post_as_of",
 )
 def _(t: Tables):
-    return _family(t).audit().where("post_as_of")
+    return _audit(t).where("post_as_of")
 
 
 @query(
