@@ -92,10 +92,10 @@ def finance_features(finance: DataFrame, year: int, office: str, as_of: AsOf) ->
     newest report per candidate in the usable snapshot."""
     key = race_key(office)
     reports = filter_as_of(usable_snapshot(finance, year, office, as_of), as_of)
-    latest = top_per_key(
-        reports, ["candidate_id"], newest("coverage_end_date", "revision_vintage")
-    )
     money = [c for c in _MONEY.values() if c in finance.columns]
+    order = ["coverage_end_date", "revision_vintage"]
+    needed = reports.select("candidate_id", *key, "party", *money, *order)
+    latest = top_per_key(needed, ["candidate_id"], newest(*order))
 
     def best_funded(party: str) -> Column:
         # Most receipts (unknown last), then candidate id: the smallest struct.

@@ -34,11 +34,13 @@ def demographics_as_of(demographics: DataFrame, as_of: AsOf, *, survey: str = "a
     rows = demographics
     if "survey" in rows.columns:
         rows = rows.where(F.col("survey") == survey)
-    return latest_as_of(rows, as_of, ["state"], order_col="year").select(
+    features = [c for c in DEMOGRAPHIC_FEATURES if c in rows.columns]
+    needed = [*features, "total_population", "publication_date"]
+    return latest_as_of(rows, as_of, ["state"], order_col="year", columns=needed).select(
         "state",
         F.col("year").alias("acs_year"),
         F.col("publication_date").alias("acs_publication_date"),
-        *[c for c in DEMOGRAPHIC_FEATURES if c in rows.columns],
+        *features,
         F.col("total_population").alias("acs_total_population"),
     )
 
@@ -50,7 +52,9 @@ def population_as_of(population: DataFrame, as_of: AsOf) -> DataFrame:
     The per-year choice shrinks the data to one row per state and year first,
     so the window that follows only ever sees a state's list of years.
     """
-    series = newest_vintage_per_year(filter_as_of(population, as_of))
+    needed = ["population", "publication_date", "revision_vintage"]
+    needed += [c for c in MIGRATION if c in population.columns]
+    series = newest_vintage_per_year(filter_as_of(population, as_of), needed)
     years = W.partitionBy("state").orderBy("year")
     grown = series.withColumns(
         {
@@ -71,18 +75,19 @@ def population_as_of(population: DataFrame, as_of: AsOf) -> DataFrame:
 
 
 def density_features(pop_features: DataFrame, geography: DataFrame, as_of: AsOf) -> DataFrame:
-    land = latest_as_of(geography, as_of, ["state"], order_col="year").select(
-        "state", "land_area_sq_miles"
-    )
+    area = "land_area_sq_miles"
+    land = latest_as_of(geography, as_of, ["state"], order_col="year", columns=[area])
     return (
-        pop_features.join(land, "state", "left")
+        pop_features.join(land.select("state", area), "state", "left")
         .withColumn("population_density", ratio("population", "land_area_sq_miles"))
         .withColumn("log_population_density", F.log1p("population_density"))
     )
 
 
 def urban_features(urban_rural: DataFrame, as_of: AsOf) -> DataFrame:
-    return latest_as_of(urban_rural, as_of, ["state"], order_col="year").select(
+    needed = ["pct_urban", "pct_rural"]
+    latest = latest_as_of(urban_rural, as_of, ["state"], order_col="year", columns=needed)
+    return latest.select(
         "state", "pct_urban", "pct_rural", F.col("year").alias("urban_rural_census_year")
     )
 

@@ -14,8 +14,9 @@ from .relational import newest, top_per_key
 _REVISION_ORDER = ("publication_date", "retrieval_date", "revision_vintage")
 
 
-def _newest_revision(df: DataFrame, keys: list[str]) -> DataFrame:
-    return top_per_key(df, keys, newest(*[c for c in _REVISION_ORDER if c in df.columns]))
+def _newest_revision(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    order = [c for c in _REVISION_ORDER if c in df.columns]
+    return top_per_key(df.select(*keys, *values, *order), keys, newest(*order))
 
 
 def _months_back(value: str, series: W, k: int) -> Column:
@@ -32,11 +33,9 @@ def unemployment_features(
     rows = labor
     if "seasonally_adjusted" in rows.columns:
         rows = rows.where(F.col("seasonally_adjusted") == seasonally_adjusted)
-    monthly = _newest_revision(filter_as_of(rows, as_of), ["state", "date"]).withColumns(
-        {
-            "m": month_number("date"),
-            **{c: to_double(c) for c in ("unemployment_rate", "employment", "labor_force")},
-        }
+    values = ["unemployment_rate", "employment", "labor_force"]
+    monthly = _newest_revision(filter_as_of(rows, as_of), ["state", "date"], values).withColumns(
+        {"m": month_number("date"), **{c: to_double(c) for c in values}}
     )
     # One row per state and month by now: a state's window is its months.
     months = W.partitionBy("state").orderBy("m")
@@ -78,7 +77,7 @@ def unemployment_features(
 
 def latest_labor_month(labor: DataFrame, as_of: AsOf) -> DataFrame:
     """One row: the newest month of any state that was public on ``as_of``."""
-    return latest_as_of(labor, as_of, ["state"], order_col="date").agg(
+    return latest_as_of(labor, as_of, ["state"], order_col="date", columns=[]).agg(
         F.max("date").alias("latest_labor_month")
     )
 
@@ -195,7 +194,7 @@ def _national_months(national: DataFrame, as_of: AsOf) -> DataFrame:
     available = filter_as_of(national, as_of)
     if "seasonally_adjusted" not in available.columns:
         available = available.withColumn("seasonally_adjusted", F.lit(None).cast("boolean"))
-    monthly = _newest_revision(available, ["measure", "seasonally_adjusted", "date"])
+    monthly = _newest_revision(available, ["measure", "seasonally_adjusted", "date"], ["value"])
     member = F.array_compact(
         F.array(
             *[

@@ -146,22 +146,24 @@ def turnout_before(
     same_cycle = metrics.where(
         (F.col("year") < year) & (T.is_presidential_year("year") == F.lit(year % 4 == 0))
     )
-    last = top_per_key(same_cycle, ["state"], newest("year"))
-    names = [
+    wanted = [
         "turnout_registered", "registered_voters", "ballots_cast", "turnout_population",
         "turnout_cvap", "mail_vote_share", "early_vote_share",
     ]
+    names = [c for c in wanted if c in metrics.columns]
+    last = top_per_key(same_cycle.select("state", "year", *names), ["state"], newest("year"))
     return last.select(
         "state",
         F.col("year").alias("prev_turnout_year"),
-        *[F.col(c).alias(f"prev_{c}") for c in names if c in last.columns],
+        *[F.col(c).alias(f"prev_{c}") for c in names],
     )
 
 
 def naep_wide(naep: DataFrame, as_of: AsOf) -> DataFrame:
     """Newest public score per state, subject and grade, one column each."""
     latest = latest_as_of(
-        naep, as_of, ["state", "grade", "subject"], order_col="assessment_year"
+        naep, as_of, ["state", "grade", "subject"], order_col="assessment_year",
+        columns=["average_score"],
     )
     return latest.groupBy("state").agg(
         *[
@@ -178,11 +180,10 @@ def naep_wide(naep: DataFrame, as_of: AsOf) -> DataFrame:
 
 
 def religion_latest(religion: DataFrame, as_of: AsOf) -> DataFrame:
-    latest = latest_as_of(religion, as_of, ["state"], order_col="survey_year")
+    shares = [c for c in religion.columns if c.startswith("pct_")]
+    latest = latest_as_of(religion, as_of, ["state"], order_col="survey_year", columns=shares)
     return latest.select(
-        "state",
-        F.col("survey_year").alias("religion_survey_year"),
-        *[c for c in religion.columns if c.startswith("pct_")],
+        "state", F.col("survey_year").alias("religion_survey_year"), *shares
     )
 
 

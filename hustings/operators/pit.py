@@ -69,12 +69,17 @@ def latest_as_of(
     order_col: str = "observation_date",
     publication_col: str = "publication_date",
     vintage_col: str | None = "revision_vintage",
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """The newest observation per key that was public on ``as_of``; a revision
-    counts only once it had been published."""
+    counts only once it had been published. ``columns`` names what is needed
+    besides keys and order: choosing a row must not widen the scan."""
     available = filter_as_of(df, as_of, publication_col=publication_col)
     order = [order_col, publication_col, *([vintage_col] if vintage_col else [])]
-    return top_per_key(available, keys, newest(*[c for c in order if c in df.columns]))
+    order = [c for c in order if c in df.columns]
+    if columns is not None:
+        available = available.select(*dict.fromkeys([*keys, *order, *columns]))
+    return top_per_key(available, keys, newest(*order))
 
 
 def future_rows(

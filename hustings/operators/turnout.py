@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,9 +12,14 @@ from ..functions.scalars import ratio, to_double
 from .relational import newest, top_per_key
 
 
-def newest_vintage_per_year(population: DataFrame) -> DataFrame:
-    """One population row per state and year: the newest numeric vintage."""
+def newest_vintage_per_year(
+    population: DataFrame, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """One population row per state and year: the newest numeric vintage. Name
+    the ``columns`` needed, so that the choice does not widen the scan."""
     numbered = population.withColumn("_vintage", to_double("revision_vintage"))
+    if columns is not None:
+        numbered = numbered.select(*dict.fromkeys(["state", "year", *columns, "_vintage"]))
     return top_per_key(numbered, ["state", "year"], newest("_vintage")).drop("_vintage")
 
 
@@ -27,7 +34,7 @@ def turnout_metrics(turnout: DataFrame, population: DataFrame | None = None) ->
     if "voting_age_population" in have:
         rates["turnout_vap"] = ratio("ballots_cast", "voting_age_population")
     if population is not None:
-        people = newest_vintage_per_year(population).select("state", "year", "population")
+        people = newest_vintage_per_year(population, ["population"])
         out = out.join(people, ["state", "year"], "left")
         rates["turnout_population"] = ratio("ballots_cast", "population")
     if "mail_votes" in have:

@@ -96,7 +96,9 @@ def _(t: Tables):
         'population', 'state', 'year publication_date revision_vintage', f'publication_date <= {T}')}) p""",
 )
 def _(t: Tables):
-    latest = pit.latest_as_of(t("population"), AS_OF, ["state"], order_col="year")
+    latest = pit.latest_as_of(
+        t("population"), AS_OF, ["state"], order_col="year", columns=["population"]
+    )
     return latest.select("state", "year", "revision_vintage", "population", "publication_date")
 
 
@@ -282,9 +284,7 @@ def _(t: Tables):
     "select state, year, population, revision_vintage from people_any",
 )
 def _(t: Tables):
-    return TO.newest_vintage_per_year(t("population")).select(
-        "state", "year", "population", "revision_vintage"
-    )
+    return TO.newest_vintage_per_year(t("population"), ["population", "revision_vintage"])
 
 
 @query(

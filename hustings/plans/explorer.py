@@ -22,7 +22,7 @@ def _shares(t: Tables):
 def _ballots(t: Tables):
     from ..operators.turnout import newest_vintage_per_year
 
-    people = newest_vintage_per_year(t("population")).select("state", "year", "population")
+    people = newest_vintage_per_year(t("population"), ["population"])
     votes = t("turnout").select("state", "year", F.col("ballots_cast").alias("ballots"))
     return votes.join(people, ["state", "year"], "left")
 

@@ -108,3 +108,16 @@ def test_attach_scalars_and_null_safe_join(spark):
 def test_keep_last(spark):
     df = spark.createDataFrame([("a", 1, 10), ("a", 2, 20), ("a", None, 30)], "k string, o int, v int")
     assert [r.v for r in R.keep_last(df, ["k"], ["o"]).collect()] == [20]
+
+
+def test_choosing_rows_does_not_widen_the_scan(spark, tmp_path):
+    from hustings.operators.demographics import population_as_of
+    from hustings.schema import table_spec
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    path = str(tmp_path / "population")
+    table_spec("population").empty(spark).write.parquet(path)
+    text = plan(population_as_of(spark.read.parquet(path), "2020-01-01"))
+    schema = text[text.index("ReadSchema") :].splitlines()[0]
+    assert "births" not in schema and "source_url" not in schema and "population" in schema
+    assert "LessThanOrEqual(publication_date" in text
