@@ -53,9 +53,12 @@ def _leader(party: str | None = None) -> Column:
 def race_summary(results: DataFrame) -> DataFrame:
     """One row per race: party totals, leaders, shares, winner and margin.
 
-    Totals and leaders come from one partially combined aggregation. Only the
-    runner-up's votes need a rank, which is cut to two rows per race before
-    its shuffle, so a race with very many lines stays harmless.
+    Three narrow answers per race instead of one wide shuffle. Totals and leaders
+    combine before their shuffle to one row per race and task. The runner-up's
+    votes need a rank, which is cut to two rows per race before its shuffle. The
+    distinct count is kept apart: next to the other aggregates it would send
+    their buffers along for every single candidate. A race with very many lines
+    is harmless in each of them.
     """
     lines = candidate_lines(results)
 
@@ -65,7 +68,6 @@ def race_summary(results: DataFrame) -> DataFrame:
     party = F.col("party")
     aggregates = [
         F.max("total_votes").alias("total_votes"),
-        F.count_distinct("candidate").alias("n_candidates"),
         votes_of(party == "DEM").alias("dem_votes"),
         votes_of(party == "REP").alias("rep_votes"),
         votes_of(~party.isin("DEM", "REP")).alias("other_votes"),
@@ -89,7 +91,9 @@ def race_summary(results: DataFrame) -> DataFrame:
         .where(F.col("place") == 2)
         .select(*RACE_KEY, F.col("votes").alias("_second_votes"))
     )
-    races = derived_metrics(null_safe_join(totals, runner_up, RACE_KEY))
+    running = lines.groupBy(*RACE_KEY).agg(F.count_distinct("candidate").alias("n_candidates"))
+    ranked = null_safe_join(null_safe_join(totals, running, RACE_KEY), runner_up, RACE_KEY)
+    races = derived_metrics(ranked)
     lead = (F.lit(0.0) - F.col("_first.v")) - F.coalesce("_second_votes", F.lit(0.0))
     out = races.withColumns(
         {

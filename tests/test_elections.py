@@ -139,3 +139,20 @@ def test_senate_history_prefers_the_same_class(summary):
 def test_other_offices_take_the_most_recent_race(summary):
     row = race(L.previous_same_office(summary, "president"), state="IA", year=2016)
     assert row.prev_election_year == 2012 and row.prev_winner_party == "DEM"
+
+
+def test_a_race_with_very_many_lines(spark, results):
+    """A third of all rows in one race: exact result, cut before the shuffle."""
+    rows = [
+        (2020, "TX", "senate", f"C{i % 1500}", "DEM" if i % 2 == 0 else "REP",
+         float(i * 7919 % 3001), 1e7, False, "48", "statewide")
+        for i in range(3000)
+    ]
+    crowd = spark.createDataFrame(rows, SCHEMA + ", state_fips string, district string")
+    votes = sorted(((i * 7919) % 3001 for i in range(3000)), reverse=True)
+    got = L.race_summary(crowd.repartition(6))
+    row = got.first()
+    assert row.n_candidates == 1500 and row.total_candidate_votes == sum(votes)
+    assert row.winning_margin == pytest.approx((votes[0] - votes[1]) / sum(votes))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "row_number(), 2, Partial" in plan and "collect_list" not in plan
