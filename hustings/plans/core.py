@@ -362,6 +362,18 @@ def _(t: Tables):
     return E.latest_labor_month(t("labor"), AS_OF)
 
 
+@query(
+    "eco06_month_floor",
+    "select distinct cast(date_trunc('month', l_shipdate) as date) as month from lineitem",
+)
+def _(t: Tables):
+    from ..functions.dates import month_floor
+
+    return t.base("lineitem").select(
+        month_floor(F.to_date("l_shipdate")).alias("month")
+    ).distinct()
+
+
 # ---------------------------------------------------------- candidates and polls
 
 for _office, _key in (("senate", "state"), ("house", "state, district")):
