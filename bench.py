@@ -7,7 +7,7 @@ import os
 import time
 
 from hustings.plans import QUERIES
-from hustings.session import local_session
+from hustings.session import clean_scratch, local_session
 
 HEADLINE = (
     "ele01_race_summary",
@@ -53,6 +53,7 @@ def main() -> None:
             }
         )
     )
+    clean_scratch(spark)
     spark.stop()
 
 

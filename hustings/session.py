@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,16 +37,26 @@ def local_session(cpus: int | str = "*", app: str = "hustings") -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's shared checkpoint folder.
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the cluster's shared folder.
 
-    Only where ``spark.checkpoint.dir`` is unset (local tests) is a folder of
-    this machine used.
+    ``spark.checkpoint.dir`` names the shared folder. Where it is unset, the
+    warehouse, which the driver and all executors share too, takes its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{base.rstrip('/')}/hustings/{purpose}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/hustings-scratch/{spark.sparkContext.applicationId}"
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A new folder for one intermediate table."""
+    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete every intermediate table of this application, once its results are read."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:

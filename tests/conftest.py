@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from hustings.session import local_session  # noqa: E402
+from hustings.session import clean_scratch, local_session  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,6 +15,7 @@ def spark():
     session = local_session("8", "tests")
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
+    clean_scratch(session)
     session.stop()
 
 

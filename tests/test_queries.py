@@ -16,7 +16,7 @@ SAMPLE = (
     "pol02_approval_features pol04_race_polls_senate nrm01_normalize_returns nrm10_normalize_acs "
     "dq12_validate_table join04_asof_inclusive exp03_national_totals_president api16_snapshot"
 ).split()
-NAMES = list(QUERIES) if os.environ.get("ALL_QUERIES") else SAMPLE
+NAMES = list(ORACLES) if os.environ.get("ALL_QUERIES") else SAMPLE
 
 
 def text(value):
@@ -50,8 +50,10 @@ def test_query(spark, sf_dir, oracle, name):
 
 
 def test_every_query_has_a_check():
-    assert set(QUERIES) == set(ORACLES)
-    assert len(QUERIES) > 200
+    from hustings.plans import QUERIES as TABLE_QUERIES
+
+    assert set(TABLE_QUERIES) <= set(ORACLES)
+    assert len(TABLE_QUERIES) > 200
 
 
 def test_no_query_pairs_rows_or_leaves_the_jvm(spark, sf_dir):
