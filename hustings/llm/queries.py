@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, sharding, site_lines
+from . import decontaminate, language, quality, sharding, site_lines, token_files
 from .common import documents, table
 
 
@@ -14,9 +14,24 @@ def op5_sharding(spark, sf_dir):
     return sharding.digest(documents(spark, sf_dir))
 
 
+def op6_quality(spark, sf_dir):
+    return quality.digest(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op7_token_files(spark, sf_dir):
+    return token_files.digest(documents(spark, sf_dir))
+
+
 def op8_site_lines(spark, sf_dir):
     return site_lines.digest(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op5_sharding, op8_site_lines)}
+def op9_language(spark, sf_dir):
+    return language.digest(documents(spark, sf_dir))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op2_decontamination, op5_sharding, op6_quality, op7_token_files, op8_site_lines, op9_language)
+}
 ORACLES = {"op2_decontamination": decontaminate.ORACLE, "op8_site_lines": site_lines.ORACLE}
