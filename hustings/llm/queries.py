@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, quality, sharding, site_lines, token_files
+from . import decontaminate, language, quality, sharding, site_lines, token_files, vector_search
 from .common import documents, table
 
 
@@ -10,6 +10,10 @@ def op2_decontamination(spark, sf_dir):
     return decontaminate.digest(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op3_top_k(spark, sf_dir):
+    return vector_search.digest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_sharding(spark, sf_dir):
     return sharding.digest(documents(spark, sf_dir))
 
@@ -32,6 +36,18 @@ def op9_language(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_decontamination, op5_sharding, op6_quality, op7_token_files, op8_site_lines, op9_language)
+    for f in (
+        op2_decontamination,
+        op3_top_k,
+        op5_sharding,
+        op6_quality,
+        op7_token_files,
+        op8_site_lines,
+        op9_language,
+    )
+}
+ORACLES = {
+    "op2_decontamination": decontaminate.ORACLE,
+    "op3_top_k": vector_search.ORACLE,
+    "op8_site_lines": site_lines.ORACLE,
 }
-ORACLES = {"op2_decontamination": decontaminate.ORACLE, "op8_site_lines": site_lines.ORACLE}
