@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, quality, sharding, site_lines, token_files, vector_search
+from . import decontaminate, language, mixing, quality, sharding, site_lines, token_files, vector_search
 from .common import documents, table
 
 
@@ -14,6 +14,10 @@ def op3_top_k(spark, sf_dir):
     return vector_search.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op4_mixing(spark, sf_dir):
+    return mixing.digest(documents(spark, sf_dir))
+
+
 def op5_sharding(spark, sf_dir):
     return sharding.digest(documents(spark, sf_dir))
 
@@ -39,6 +43,7 @@ QUERIES = {
     for f in (
         op2_decontamination,
         op3_top_k,
+        op4_mixing,
         op5_sharding,
         op6_quality,
         op7_token_files,
