@@ -26,9 +26,11 @@ file has one of its own. An empty table has no files and no rows.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +46,8 @@ BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 20
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words a task remembers the ids of; beyond that it starts afresh.
-_KEPT = 300_000
+#: Words, and parts of words, that a worker remembers the ids of; beyond that it starts afresh.
+_WORDS, _PARTS = 250_000, 600_000
 _HEAD = struct.Struct("<4sBBHIIIQ")
 
 
@@ -125,11 +127,19 @@ class TokenFile:
             start += n
 
 
+#: A word of letters, then marks that the tokenizer parts from letters and keeps together.
+_MARKED = re.compile(rb"(.*?)([.,!%$&*#|]+)", re.DOTALL)
+_LETTERS = re.compile(rb"[a-z]+")
+
+
 class _Encoder:
     """Ids of texts through a tokenizer that never joins words across ASCII space.
 
-    The different words of a batch pass the tokenizer once, in one string, and
-    are told apart by the offsets of their tokens.
+    A different word passes the tokenizer once per worker. Words that differ in the
+    case of ASCII letters or in marks at their end share the work: the tokenizer
+    lower-cases, and parts letters from other marks before it merges. A run of plain
+    letters is one such part and goes to the tokenizer's model directly; all else
+    passes the whole tokenizer in one string, told apart by token offsets.
     """
 
     def __init__(self, path: str):
@@ -137,10 +147,26 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
-
-    def learn(self, words: list[bytes]) -> None:
-        for start in range(0, len(words), 5000):
-            part = words[start : start + 5000]
+        self.parts: dict[bytes, bytes] = {}
+
+    def _pieces(self, word: bytes) -> tuple[bytes, ...]:
+        if b"<|" in word:  # may spell a special token, which knows case
+            return (word,)
+        word = word.lower()
+        found = _MARKED.fullmatch(word)
+        if found and found[1] and found[1].decode("utf-8", "replace")[-1].lower()[-1].isalpha():
+            return found.groups()
+        return (word,)
+
+    def _learn_parts(self, parts: list[bytes]) -> None:
+        model, odd = self.tokenizer.model, []
+        for p in parts:
+            if _LETTERS.fullmatch(p):
+                self.parts[p] = np.array([t.id for t in model.tokenize(p.decode())], dtype="<u4").tobytes()
+            else:
+                odd.append(p)
+        for start in range(0, len(odd), 5000):
+            part = odd[start : start + 5000]
             texts = [w.decode("utf-8", "replace") for w in part]
             begins = np.cumsum([0] + [len(t) + 1 for t in texts])
             found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
@@ -148,18 +174,34 @@ class _Encoder:
             at = np.array([o[0] for o in found.offsets], dtype=np.int64)
             cut = np.searchsorted(at, begins)
             for i, w in enumerate(part):
-                self.words[w] = ids[cut[i] : cut[i + 1]].tobytes()
+                self.parts[w] = ids[cut[i] : cut[i + 1]].tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        pieces = {w: self._pieces(w) for w in words}
+        new = {p for ps in pieces.values() for p in ps if p not in self.parts}
+        if len(self.parts) + len(new) > _PARTS:
+            self.parts.clear()
+            new = {p for ps in pieces.values() for p in ps}
+        self._learn_parts(sorted(new))
+        for w, ps in pieces.items():
+            self.words[w] = b"".join(map(self.parts.__getitem__, ps))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         lines = [(t or "").encode("utf-8", "replace").split() for t in texts]
         new = {w for line in lines for w in line if w not in self.words}
-        if len(self.words) + len(new) > _KEPT:
+        if len(self.words) + len(new) > _WORDS:
             self.words.clear()
             new = {w for line in lines for w in line}
-        self.learn(sorted(new))
+        self._learn(new)
         return [b"".join(map(self.words.__getitem__, line)) for line in lines]
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> _Encoder:
+    """One encoder per worker process, kept between its tasks."""
+    return _Encoder(path)
+
+
 _FILE = "part int, seq int, start bigint, n_docs int, n_ids bigint, data binary"
 _ARROW = pa.schema(
     [("part", pa.int32()), ("seq", pa.int32()), ("start", pa.int64()), ("n_docs", pa.int32()), ("n_ids", pa.int64()),
@@ -171,7 +213,7 @@ def _writer(path: str, end_id: int, file_ids: int, block_ids: int, bits: bool):
     end = struct.pack("<I", end_id)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = _Encoder(path), TaskContext.get().partitionId()
+        encoder, part = _encoder(path), TaskContext.get().partitionId()
         seq = start = size = 0
         names: list[int | None] = []
         held: list[np.ndarray] = []
