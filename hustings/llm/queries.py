@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, mixing, quality, sharding, site_lines, token_files, vector_search
+from . import decontaminate, language, mixing, quality, set_join, sharding, site_lines, token_files, vector_search
 from .common import documents, table
 
 
@@ -38,6 +38,10 @@ def op9_language(spark, sf_dir):
     return language.digest(documents(spark, sf_dir))
 
 
+def op10_set_join(spark, sf_dir):
+    return set_join.digest(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -49,6 +53,7 @@ QUERIES = {
         op7_token_files,
         op8_site_lines,
         op9_language,
+        op10_set_join,
     )
 }
 ORACLES = {
