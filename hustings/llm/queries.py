@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, mixing, quality, set_join, sharding, site_lines, token_files, vector_search
+from . import class_lm, decontaminate, language, mixing, quality, set_join, sharding, site_lines, token_files, vector_search
 from .common import documents, table
 
 
+def op1_class_lm(spark, sf_dir):
+    return class_lm.digest(documents(spark, sf_dir))
+
+
 def op2_decontamination(spark, sf_dir):
     return decontaminate.digest(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
@@ -45,6 +49,7 @@ def op10_set_join(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_class_lm,
         op2_decontamination,
         op3_top_k,
         op4_mixing,
