@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import cutoff
 from ..functions.scalars import ratio, to_double
-from .pit import AsOf, filter_as_of
+from .pit import AsOf, filter_as_of, snapshot_as_of
 from .relational import newest, top_per_key
 
 ACTIVE_STATUS = ("C", "N")
@@ -26,9 +26,12 @@ def _with_key(df: DataFrame, key: list[str]) -> DataFrame:
 def active_candidates(
     candidates: DataFrame, year: int, office: str, as_of: AsOf | None
 ) -> DataFrame:
-    """Statutory or not-yet-qualified candidates of the cycle, as known then."""
-    rows = candidates.where((F.col("office") == office) & (F.col("cycle") == year))
-    rows = filter_as_of(rows, as_of, keep_unknown=True)
+    """Statutory or not-yet-qualified candidates of the cycle, as known then: each
+    candidate once, as in the stored retrieval that counts on ``as_of``."""
+    rows = filter_as_of(candidates.where(F.col("cycle") == year), as_of, keep_unknown=True)
+    if "candidate_id" in rows.columns:
+        rows = snapshot_as_of(rows, as_of, ["candidate_id", "cycle"])
+    rows = rows.where(F.col("office") == office)
     return rows.where(
         (F.coalesce("election_year", F.lit(year)) == year)
         & F.coalesce("candidate_status", F.lit("C")).isin(*ACTIVE_STATUS)

@@ -8,15 +8,21 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_number
 from ..functions.scalars import growth, ratio, to_double
-from .pit import AsOf, filter_as_of, latest_as_of
+from .pit import AsOf, filter_as_of, latest_as_of, snapshot_as_of
 from .relational import newest, top_per_key
 
 _REVISION_ORDER = ("publication_date", "retrieval_date", "revision_vintage")
 
 
-def _newest_revision(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+def _newest_revision(
+    df: DataFrame, as_of: AsOf | None, keys: list[str], values: list[str]
+) -> DataFrame:
+    """The newest revision per key in the retrieval that was held on ``as_of``."""
     order = [c for c in _REVISION_ORDER if c in df.columns]
-    return top_per_key(df.select(*keys, *values, *order), keys, newest(*order))
+    narrow = df.select(*keys, *values, *order)
+    if "retrieval_date" in order:
+        return snapshot_as_of(narrow, as_of, keys)
+    return top_per_key(narrow, keys, newest(*order))
 
 
 def _months_back(value: str, series: W, k: int) -> Column:
@@ -34,7 +40,7 @@ def unemployment_features(
     if "seasonally_adjusted" in rows.columns:
         rows = rows.where(F.col("seasonally_adjusted") == seasonally_adjusted)
     values = ["unemployment_rate", "employment", "labor_force"]
-    monthly = _newest_revision(filter_as_of(rows, as_of), ["state", "date"], values).withColumns(
+    monthly = _newest_revision(filter_as_of(rows, as_of), as_of, ["state", "date"], values).withColumns(
         {"m": month_number("date"), **{c: to_double(c) for c in values}}
     )
     # One row per state and month by now: a state's window is its months.
@@ -151,15 +157,18 @@ GROWTH_MEASURES = (
 
 def state_economy_features(state_economy: DataFrame, as_of: AsOf) -> DataFrame:
     """Newest year per state, measures as columns, with growth over the state's
-    previous year at hand. A value revised later counts once it was public."""
+    previous year at hand. A value revised later counts once it was public. Measures
+    beyond the known eight become further columns; one distinct job finds them."""
     available = filter_as_of(state_economy, as_of).where(F.col("value").isNotNull())
+    found = available.select("measure").where(~F.col("measure").isin(*STATE_MEASURES)).distinct()
+    measures = [*STATE_MEASURES, *sorted(row.measure for row in found.collect())]
     order = [c for c in _REVISION_ORDER if c in available.columns]
     revision = F.struct(*order, "value")
     wide = (
         available.groupBy("state", "year")
-        .pivot("measure", list(STATE_MEASURES))
+        .pivot("measure", measures)
         .agg(F.max(revision))
-        .select("state", "year", *[F.col(f"{m}.value").alias(m) for m in STATE_MEASURES])
+        .select("state", "year", *[F.col(f"`{m}`.value").alias(m) for m in measures])
     )
     years = W.partitionBy("state").orderBy("year")
     grown = wide.withColumns(
@@ -169,7 +178,7 @@ def state_economy_features(state_economy: DataFrame, as_of: AsOf) -> DataFrame:
     return grown.where(F.col("_next").isNull()).select(
         "state",
         F.col("year").alias("state_economy_year"),
-        *STATE_MEASURES,
+        *[f"`{m}`" for m in measures],
         *[f"{m}_growth" for m in GROWTH_MEASURES],
         ratio("real_gdp", "population").alias("real_gdp_per_capita"),
     )
@@ -194,7 +203,9 @@ def _national_months(national: DataFrame, as_of: AsOf) -> DataFrame:
     available = filter_as_of(national, as_of)
     if "seasonally_adjusted" not in available.columns:
         available = available.withColumn("seasonally_adjusted", F.lit(None).cast("boolean"))
-    monthly = _newest_revision(available, ["measure", "seasonally_adjusted", "date"], ["value"])
+    monthly = _newest_revision(
+        available, as_of, ["measure", "seasonally_adjusted", "date"], ["value"]
+    )
     member = F.array_compact(
         F.array(
             *[

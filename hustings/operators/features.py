@@ -56,8 +56,8 @@ FAMILIES = {
     "religion": "religion",
 }
 
-MAX_RUNS = 20
-NAEP_CELLS = [(subject, grade) for subject in ("mathematics", "reading") for grade in (4, 8)]
+# The assessments every state takes; further ones found in the data are added.
+NAEP_CELLS = [("mathematics", 4), ("mathematics", 8), ("reading", 4), ("reading", 8)]
 
 
 @dataclass
@@ -160,11 +160,14 @@ def turnout_before(
 
 
 def naep_wide(naep: DataFrame, as_of: AsOf) -> DataFrame:
-    """Newest public score per state, subject and grade, one column each."""
+    """Newest public score per state, subject and grade, one column each: the four
+    usual ones and, found by one distinct job, all others in the data."""
     latest = latest_as_of(
         naep, as_of, ["state", "grade", "subject"], order_col="assessment_year",
         columns=["average_score"],
     )
+    found = naep.select("subject", "grade").where("subject is not null and grade is not null").distinct()
+    more = sorted({(r.subject, int(r.grade)) for r in found.collect()} - set(NAEP_CELLS))
     return latest.groupBy("state").agg(
         *[
             F.max(
@@ -173,7 +176,7 @@ def naep_wide(naep: DataFrame, as_of: AsOf) -> DataFrame:
                     F.col("average_score"),
                 )
             ).alias(f"naep_{subject[:4]}_grade{grade}")
-            for subject, grade in NAEP_CELLS
+            for subject, grade in [*NAEP_CELLS, *more]
         ],
         F.max("assessment_year").alias("naep_year"),
     )
@@ -199,7 +202,7 @@ def usable_finance(finance: DataFrame, year: int, as_of: AsOf) -> DataFrame:
 
 
 def family_provenance(family: str, rows: DataFrame | None, spark, note: str = "") -> DataFrame:
-    """One row: rows, datasets, up to 20 runs, last publication day, and share of
+    """One row: rows, datasets, runs, last publication day, and share of
     estimated publication days."""
     if rows is None:
         return spark.range(1).select(
@@ -234,14 +237,8 @@ def family_provenance(family: str, rows: DataFrame | None, spark, note: str = ""
     )
     runs: Column = F.array().cast("array<string>")
     if "ingestion_run_id" in have:
-        # Run ids grow with time: only the first 20 of their order are gathered.
-        first = (
-            rows.select("ingestion_run_id")
-            .where(F.col("ingestion_run_id").isNotNull())
-            .distinct()
-            .orderBy("ingestion_run_id")
-            .limit(MAX_RUNS)
-        )
+        # One id per load of a dataset: few, however many rows a load has.
+        first = rows.select("ingestion_run_id").where(F.col("ingestion_run_id").isNotNull()).distinct()
         runs = first.agg(F.array_sort(F.collect_list("ingestion_run_id"))).scalar()
     return facts.select(
         F.lit(family).alias("family"),

@@ -40,13 +40,18 @@ def filter_as_of(
     fallback_cols: Sequence[str] = ("retrieval_date",),
     strict: bool = True,
     keep_unknown: bool = False,
+    resolve: bool = False,
 ) -> DataFrame:
     """Rows published on or before ``as_of``: a plain filter that Parquet scans
     take over. Rows of unknown publication day are dropped unless
-    ``keep_unknown``. Without an ``as_of`` the frame comes back unchanged."""
+    ``keep_unknown``. Without an ``as_of`` the frame comes back unchanged.
+    ``resolve`` looks first (a job that ends at the first value) whether the
+    publication column is entirely NULL, and then cuts by the fallback."""
     if as_of is None:
         return df
     column = publication_col
+    if resolve and column in df.columns:
+        column = resolve_publication_col(df, publication_col, fallback_cols) or column
     if column not in df.columns:
         column = next((c for c in fallback_cols if c in df.columns), None)
         if column is None:
@@ -82,6 +87,36 @@ def latest_as_of(
     return top_per_key(available, keys, newest(*order))
 
 
+def snapshot_order(as_of: AsOf | None, retrieval_col: str = "retrieval_date") -> list[Column]:
+    """Which of several stored retrievals of a row counts on ``as_of``: the newest
+    one retrieved by then. Where none is that old, the oldest, which knows the
+    least of what came later. Without a date, the newest."""
+    if as_of is None:
+        return newest(retrieval_col)
+    held = F.coalesce(F.to_date(retrieval_col) <= F.lit(cutoff(as_of)), F.lit(False))
+    return [
+        F.desc(held),
+        F.desc_nulls_last(F.when(held, F.col(retrieval_col))),
+        F.asc_nulls_last(F.when(~held, F.col(retrieval_col))),
+    ]
+
+
+def snapshot_as_of(
+    df: DataFrame,
+    as_of: AsOf | None,
+    keys: Sequence[str],
+    *,
+    retrieval_col: str = "retrieval_date",
+    then: Sequence[str] = ("publication_date", "revision_vintage"),
+) -> DataFrame:
+    """One row per key: that of the retrieval which counts on ``as_of``, and within
+    it the newest revision. The publication cut is a filter of its own."""
+    if retrieval_col not in df.columns:
+        return df
+    order = newest(*[c for c in then if c in df.columns])
+    return top_per_key(df, list(keys), [*snapshot_order(as_of, retrieval_col), *order])
+
+
 def future_rows(
     df: DataFrame, as_of: AsOf, *, publication_col: str = "publication_date"
 ) -> DataFrame:

@@ -135,6 +135,19 @@ from (
   group by {key}) c"""
 
 
+def held_then(table: str, keys: str, public: str) -> str:
+    """Rows of the last retrieval by the day, per key; of the first one where there is none."""
+    same = " and ".join(f"x.{k} = y.{k}" for k in keys.split(", "))
+    among = f"from {table} x where {same} and {public}"
+    return f"""
+select * from {table} y where {public} and retrieval_date = coalesce(
+  (select max(x.retrieval_date) {among} and x.retrieval_date <= {T}), (select min(x.retrieval_date) {among}))"""
+
+
+def held_now(table: str, keys: str) -> str:
+    return f"select * from {table} y where ({keys}, retrieval_date) in (select {keys}, max(retrieval_date) from {table} group by {keys})"
+
+
 def incumbency(office: str, key: str) -> str:
     return f"""
 select {key}, n_dem_candidates, n_rep_candidates, incumbent_party, open_seat,
@@ -148,8 +161,7 @@ from (
       when count(*) filter (where incumbent_challenger_status = 'I') > 0 then 'OTHER' end as incumbent_party,
     count(*) filter (where incumbent_challenger_status = 'O') > 0
       and count(*) filter (where incumbent_challenger_status = 'I') = 0 as open_seat
-  from candidates where office = '{office}' and cycle = {YEAR}
-    and (publication_date <= {T} or publication_date is null)
+  from candidates_then where office = '{office}' and cycle = {YEAR}
     and coalesce(election_year, {YEAR}) = {YEAR} and coalesce(candidate_status, 'C') in ('C', 'N')
   group by {key}) x"""
 
@@ -205,9 +217,9 @@ def months_back(value: str, k: int) -> str:
 
 def national_series(name: str, measure: str, adjusted: str) -> str:
     return f"""
-select '{name}' as series, date, max(value) as value from national_economy
+select '{name}' as series, date, max(value) as value from national_then
 where publication_date <= {T} and measure = '{measure}' and (seasonally_adjusted = {adjusted}
-  or not exists (select 1 from national_economy x where x.publication_date <= {T}
+  or not exists (select 1 from national_then x where x.publication_date <= {T}
     and x.measure = '{measure}' and x.seasonally_adjusted = {adjusted})) group by date"""
 
 
@@ -323,6 +335,15 @@ from (
     row_number() over (partition by t.state order by t.year desc) as rn
   from turnout t left join people p on p.state = t.state and p.year = t.year
   where t.publication_date <= {T} and t.year < {YEAR} and t.year % 4 = 0) x where rn = 1""",
+    "labor_then": held_then("labor", "state, date, seasonally_adjusted", f"publication_date <= {T}"),
+    "national_then": held_then(
+        "national_economy", "measure, seasonally_adjusted, date, series_id", f"publication_date <= {T}"
+    ),
+    "national_now": held_now("national_economy", "measure, seasonally_adjusted, date, series_id"),
+    "candidates_then": held_then(
+        "candidates", "candidate_id, cycle", f"(publication_date <= {T} or publication_date is null)"
+    ),
+    "candidates_now": held_now("candidates", "candidate_id, cycle"),
     "jobs": f"""
 select state, date as labor_month, unemployment_rate, unemployment_rate_3m_avg, unemployment_rate_12m_avg,
   unemployment_change_3m, unemployment_change_12m, employment_growth_12m, labor_force_growth_12m,
@@ -336,7 +357,7 @@ from (
     labor_force / nullif({months_back('labor_force', 12)}, 0) - 1 as labor_force_growth_12m,
     max(publication_date) over (partition by state) as labor_publication_date,
     row_number() over (partition by state order by date desc) as rn
-  from labor where publication_date <= {T} and seasonally_adjusted
+  from labor_then where seasonally_adjusted
   window m3 as (partition by state order by date rows between 2 preceding and current row),
     m12 as (partition by state order by date rows between 11 preceding and current row)) x
 where rn = 1""",

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..api.platform import Platform, apply_filters, known_broken, latest_vintage, status_frame
+from ..api.platform import Platform, apply_filters, known_broken, status_frame
+from ..operators.pit import snapshot_as_of
 from ..sources import registry as G
 from ..storage import manifest as M
 from ..storage.lake import run_query, select_from
@@ -93,7 +94,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     keys = ["candidate_id", "cycle", "coverage_end_date"]
-    return latest_vintage(t("candidate_finance"), keys).select(*keys, "total_receipts")
+    rows = t("candidate_finance")
+    return snapshot_as_of(rows, None, keys, then=["revision_vintage"]).select(*keys, "total_receipts")
 
 
 @query(
@@ -187,7 +189,7 @@ def _(t: Tables):
 
 @query(
     "api17_labor",
-    f"select state, date, employment from labor where seasonally_adjusted and publication_date <= {T} and date between date '1997-01-01' and date '1999-12-01' and state = 'DE'",
+    f"select state, date, employment from labor_then where seasonally_adjusted and date between date '1997-01-01' and date '1999-12-01' and state = 'DE'",
 )
 def _(t: Tables):
     rows = _platform(t).economics.labor("DE", start="1997-01-01", end="1999-12-01", as_of=AS_OF)
@@ -225,21 +227,21 @@ def _(t: Tables):
 _WIDE = ", ".join(
     f"max(case when measure = '{m}' and {'not ' if tag == 'nsa' else ''}seasonally_adjusted then value end) as {m}_{tag}"
     for m in (
-        "unemployment_rate", "labor_force_participation_rate", "cpi_all_items", "cpi_core",
+        "unemployment_rate", "cpi_all_items", "cpi_core",
         "nonfarm_payrolls", "average_hourly_earnings",
     )
     for tag in ("sa", "nsa")
 )
 
 
-@query("api21_national_wide", f"select date, {_WIDE} from national_economy where publication_date <= {T} group by 1")
+@query("api21_national_wide", f"select date, {_WIDE} from national_then group by 1")
 def _(t: Tables):
     return _platform(t).economics.national(as_of=AS_OF, wide=True)
 
 
 @query(
     "api21_national_long",
-    "select measure, date, seasonally_adjusted, value from national_economy where measure = 'cpi_core'",
+    "select measure, date, seasonally_adjusted, value from national_now where measure = 'cpi_core'",
 )
 def _(t: Tables):
     rows = _platform(t).economics.national(measure="cpi_core")
@@ -253,7 +255,7 @@ def _(t: Tables):
 
 @query(
     "api23_candidates",
-    "select candidate_id, cycle, party from candidates where cycle = 2000 and office = 'senate' and candidate_status in ('C', 'N')",
+    "select candidate_id, cycle, party from candidates_now where cycle = 2000 and office = 'senate' and candidate_status in ('C', 'N')",
 )
 def _(t: Tables):
     rows = _platform(t).candidates.candidates(2000, office="senate")
@@ -331,7 +333,7 @@ def _(t: Tables):
     "select run_id, dataset, started_at, status from ingestion_runs order by started_at desc, run_id desc limit 50",
 )
 def _(t: Tables):
-    return M.runs(t("ingestion_runs")).select("run_id", "dataset", "started_at", "status")
+    return M.runs(t("ingestion_runs"), limit=50).select("run_id", "dataset", "started_at", "status")
 
 
 @query(

@@ -4,6 +4,7 @@ normalizers, so that one bad cell never fails a load."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,10 +70,11 @@ def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _text_csv(spark, path)
 
 
-def with_file_year(df: DataFrame, pattern: str = r"(\d{4})") -> DataFrame:
-    """Add ``year`` from the name of the file a row came from."""
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    return df.withColumn("year", F.regexp_extract(name, pattern, 1).try_cast("bigint"))
+def with_file_year(df: DataFrame, pattern: str = r"(?<!\d)((?:19|20)\d{2})(?!\d)") -> DataFrame:
+    """Add ``year`` from the path of the file a row came from: the last year in it, be
+    it in the file's name or in a folder's, as where Spark wrote the files."""
+    found = F.regexp_extract_all(F.input_file_name(), F.lit(pattern), F.lit(1))
+    return df.withColumn("year", F.try_element_at(found, F.lit(-1)).try_cast("bigint"))
 
 
 def read_laus_flat_file(spark: SparkSession, path: str) -> DataFrame:
@@ -102,18 +104,20 @@ def read_pipe_file(spark: SparkSession, path: str, layout: Sequence[str]) -> Dat
 
 
 def read_manual_csvs(spark: SparkSession, directory: str) -> DataFrame:
-    """Union by name of hand-placed CSV files, whose headers may differ. Only the
-    list of file names comes to the driver."""
-    listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(directory)
+    """Union by name of hand-placed CSV files, whose headers may differ: one scan per
+    different header. Only file names and headers come to the driver."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(directory)
+    first = lines.select(
+        F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"), "value"
     )
-    paths = sorted(row.path for row in listing.select("path").collect())
-    if not paths:
+    headers = first.groupBy("path").agg(F.min_by("value", "at").alias("header")).collect()
+    if not headers:
         raise ParserError(f"no CSV files in {directory}")
-    out = read_csv(spark, paths[0])
-    for path in paths[1:]:
-        out = out.unionByName(read_csv(spark, path), allowMissingColumns=True)
-    return out
+    alike: dict[str, list[str]] = {}
+    for row in sorted(headers):
+        alike.setdefault(row.header, []).append(row.path)
+    scans = [read_csv(spark, paths) for _, paths in sorted(alike.items(), key=lambda x: x[1][0])]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 # ------------------------------------------------------------------------ JSON
@@ -163,14 +167,14 @@ def whole_files(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_acs_cells(bodies: DataFrame) -> DataFrame:
     """Responses that are arrays of rows (the first one the header) as cells:
-    file, row_no, variable, value. One response holds at most 56 states."""
+    file, row_no, variable, value."""
     rows = bodies.select(
         "file", F.from_json("value", "array<array<string>>").alias("rows")
     )
     cells = rows.select(
         "file",
         F.element_at("rows", 1).alias("header"),
-        F.posexplode(F.slice("rows", 2, 1_000_000)).alias("row_no", "cells"),
+        F.posexplode(F.expr("slice(rows, 2, greatest(size(rows) - 1, 0))")).alias("row_no", "cells"),
     )
     return cells.select(
         "file", "row_no", F.explode(F.arrays_zip("header", "cells")).alias("c")

@@ -18,7 +18,7 @@ from ..schema import enforce_schema, table_spec
 from ..session import materialize
 from ..sources.registry import SourceSpec, get_spec
 from .lake import Lake
-from .manifest import Manifest, RunRecord, last_success, new_run_id
+from .manifest import Manifest, RunRecord, last_success, next_run_id
 
 KEEP_LAST_ORDER = ("publication_date", "revision_vintage")
 
@@ -97,7 +97,7 @@ def load(
     started = dt.datetime.now(dt.UTC)
     held = retrieval_date or started.date()
     record = RunRecord(
-        new_run_id(spec.id, started), spec.source, spec.id, started,
+        next_run_id(spec.id), spec.source, spec.id, started,
         retrieval_date=held, normalized_table=spec.table, options=dict(options or {}),
     )
     result = LoadResult(spec.id, record.run_id, "running")
@@ -110,7 +110,7 @@ def load(
     except HustingsError as exc:
         record.status, record.error = "failed", f"{type(exc).__name__}: {exc}"
     except Exception as exc:  # a failing task surfaces here; it is recorded as well
-        record.status, record.error = "failed", f"{type(exc).__name__}: {str(exc)[:500]}"
+        record.status, record.error = "failed", f"{type(exc).__name__}: {exc}"
     finally:
         record.completed_at = dt.datetime.now(dt.UTC)
         manifest.append(record)
@@ -121,8 +121,9 @@ def load(
 def _store(lake, spec, normalized, held, record, result, manifest, fail_on_error) -> None:
     # Read by the checks, the count and the write: computed once, kept on shared
     # storage, so that losing an executor does not repeat the parse.
+    received = materialize(normalized, f"received-{spec.id}")
     rows = materialize(
-        prepare(normalized, spec, retrieval_date=held, run_id=record.run_id), f"load-{spec.id}"
+        prepare(received, spec, retrieval_date=held, run_id=record.run_id), f"load-{spec.id}"
     )
     count = rows.count()
     if count == 0:
@@ -138,9 +139,15 @@ def _store(lake, spec, normalized, held, record, result, manifest, fail_on_error
         {k: str(v) for k, v in issue.items() if v is not None} for issue in issues
     ]
     before = last_success(manifest.records(), spec.id).first()
-    drift = quality.compare_row_counts(None if before is None else before.row_count, count)
-    if drift:
-        record.notes.append(drift)
+    dropped = received.count() - count
+    if dropped:
+        record.notes.append(f"{dropped} rows repeated the natural key of a newer row and were dropped")
+    result.dropped = dropped
+    if before is not None and before.row_count:
+        note = quality.row_count_drift(F.lit(before.row_count), F.lit(count)).alias("note")
+        drift = rows.sparkSession.range(1).select(note).first().note
+        if drift:
+            record.notes.append(drift)
     if errors and fail_on_error:
         raise ValidationError(f"{len(errors)} validation errors (first: {errors[0]['message']})")
     record.processed_path = lake.write_processed(rows, spec.table, spec.id)
