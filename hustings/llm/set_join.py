@@ -34,25 +34,22 @@ gives no rows. Extra columns pass through ``deduplicated``.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, materialize, slices, words_of
+from .common import free_name, materialize, slices
 
 SLOTS = 1 << 18
 _SLICES = 16
 BLOCK = 4096
 #: Members of a class verified in one trie.
 TRIE = 256
-_KEPT = 300_000
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _LOW = np.uint64((1 << 58) - 1)
 
@@ -64,32 +61,58 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Sets of 58-bit n-gram hashes; remembers the hashes of words."""
+    """Sets of 58-bit n-gram hashes.
 
-    def __init__(self, n: int):
-        self.n, self.places, self.hashes = n, {}, np.empty(_KEPT + (1 << 16), dtype=np.uint64)
+    A word's hash is a polynomial over random numbers for its bytes, modulo 2**64,
+    taken for all words of a text at once from running sums, and mixed.
+    """
 
-    def _place(self, word: bytes) -> int:
-        place = self.places[word] = len(self.places)
-        if place >= len(self.hashes):
-            self.hashes = np.concatenate([self.hashes, np.empty_like(self.hashes)])
-        self.hashes[place] = xxhash.xxh3_64_intdigest(word)
-        return place
+    def __init__(self, n: int):
+        self.n = n
+        self.bytes = np.random.Generator(np.random.PCG64(99)).integers(0, 2**64, 256, dtype=np.uint64)
+        self.powers, self.inverses = self._tables(1 << 16)
+        self.space = np.zeros(256, dtype=bool)
+        self.space[[32, *range(9, 14)]] = True
+
+    @staticmethod
+    def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+        base, inverse = int(_M1), pow(int(_M1), -1, 1 << 64)
+        return tuple(np.cumprod(np.array([1] + [x] * (n - 1), dtype=np.uint64)) for x in (base, inverse))
+
+    def _piece(self, data: bytes) -> np.ndarray:
+        b = np.frombuffer(data, np.uint8)
+        if len(b) > len(self.powers):
+            self.powers, self.inverses = self._tables(1 << len(b).bit_length())
+        word = np.zeros(len(b) + 2, dtype=np.int8)
+        word[1:-1] = ~self.space[b]
+        edges = np.flatnonzero(np.diff(word))
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(len(b) + 1, dtype=np.uint64)
+        np.cumsum(self.bytes[b] * self.powers[: len(b)], out=sums[1:])
+        return _mixed((sums[ends] - sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))
+
+    def words(self, text: str | None) -> np.ndarray:
+        """Hashes of the words ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased."""
+        data, out, start = (text or "").encode("utf-8", "replace").lower(), [], 0
+        while start < len(data):
+            # Pieces of a long text end between words.
+            end = min(len(data), start + (1 << 20))
+            while end < len(data) and not self.space[data[end]]:
+                end += 1
+            out.append(self._piece(data[start:end]))
+            start = end
+        return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = words_of(text)
-        if not words:
-            return np.empty(0, dtype=np.uint64)
-        if len(self.places) > _KEPT:
-            self.places.clear()
-        get = self.places.get
-        at = [p if (p := get(w)) is not None else self._place(w) for w in words]
-        h = self.hashes[np.array(at)]
+        h = self.words(text)
+        if not len(h):
+            return h
         n = min(self.n, len(h))
         out = np.full(len(h) - n + 1, n, dtype=np.uint64)
         for i in range(n):
             out = _mixed(out * _M1 + h[i : len(h) - n + 1 + i])
-        return np.unique(out & _LOW)
+        out = np.sort(out & _LOW)
+        return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 def needed(a, b, percent: int):
@@ -376,6 +399,15 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose ends are not in one component."""
+    out = pairs
+    for end in ("a", "b"):
+        label = labels.select(F.col("rid").alias(end), F.col("comp").alias(f"of_{end}"))
+        out = out.join(label, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    return out.where("of_a <> of_b").drop("of_a", "of_b")
+
+
 class Join:
     """The join of a table's texts."""
 
@@ -427,24 +459,21 @@ class Join:
             "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
         )
         placed = meets.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rid")
-        self.placed = placed
-        links = self._verified(self._proposed(placed.join(sizes, "rid").withColumn("comp", F.col("rid")), False), None)
-        if links is None:
+        found = self._verified(self._proposed(placed.join(sizes, "rid").withColumn("comp", F.col("rid")), False), None, None)
+        if found is None:
             return self.classes.select("c", F.col("least").alias("component"))
-        good, failed_tokens, tried = links
-        labels = components(good)
-        if failed_tokens.limit(1).count():
+        links, labels, failed, tried = found
+        if failed.limit(1).count():
             again = (
-                placed.join(failed_tokens, "token")
+                placed.join(failed, "token")
                 .join(sizes, "rid")
                 .join(labels, "rid", "left")
                 .withColumn("comp", F.coalesce("comp", "rid"))
             )
-            more = self._verified(self._proposed(again, True), tried)
+            more = self._verified(self._proposed(again, True), links, tried)
             if more is not None:
-                good = good.unionByName(more[0])
-                labels = components(good)
-        self.links = good
+                links, labels = more[:2]
+        self.links = links
         named = self.sets.select("rid", "c").join(labels, "rid").join(self.classes, "c")
         least = named.groupBy("comp").agg(F.min("least").alias("component"))
         found = named.join(least, "comp").select("c", "component")
@@ -456,39 +485,44 @@ class Join:
         dealt = members.select(*keys, "rid", "n", "comp", "sketch").repartition(*keys).sortWithinPartitions(*keys)
         return materialize(dealt.mapInArrow(_forest(self.percent, every), "a bigint, b bigint, token bigint"), "proposed")
 
-    def _verified(self, proposed: DataFrame, tried: DataFrame | None):
-        """Links among the proposed pairs, tokens of pairs that failed, and all pairs tried; None without pairs."""
+    def _verified(self, proposed: DataFrame, known: DataFrame | None, tried: DataFrame | None):
+        """Links found among proposed pairs with those ``known``, tokens of pairs that failed, and pairs tried.
+
+        Of each member, one pair is verified first; a second one only if its ends are
+        not in one component by then. So most sets travel once. None without pairs.
+        """
         pairs = proposed.select("a", "b").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         if not pairs.limit(1).count():
             return None
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-        wanted = materialize(self.sets.select("rid", "c", "doc_id").join(ids, "rid"), "wanted")
-        texts = self.docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-        # Several rows of one id and set give the same elements; one of them stays.
-        elements = texts.mapInArrow(_elements(self.n, self.rarity), "doc_id bigint, c binary, elements binary")
-        sets = materialize(
-            elements.join(wanted, ["doc_id", "c"]).select("rid", "elements"), "elements"
-        )
+        first = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
+        links = self._links(first)
+        if known is not None:
+            links = links.unionByName(known)
+        labels = components(links)
+        rest = materialize(apart(pairs.join(first, ["a", "b"], "left_anti"), labels), "rest")
+        if rest.limit(1).count():
+            links = links.unionByName(self._links(rest))
+            labels = components(links)
+        done = first.unionByName(rest)
+        failed = apart(proposed.join(links.select("a", "b"), ["a", "b"], "left_anti"), labels)
+        return links, labels, materialize(failed.select("token").distinct(), "failed"), done
+
+    def _links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose sets link, stored."""
         salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TRIE).alias("salts"))
-        dealt = materialize(
-            pairs.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts"))).select("a", "salt", "b"), "dealt"
-        )
+        dealt = pairs.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts"))).select("a", "salt", "b")
         lines = dealt.select("a", "salt", F.col("b").alias("rid")).unionByName(
             dealt.select("a", "salt", F.col("a").alias("rid")).distinct()
         )
-        keyed = lines.join(sets, "rid").select("a", "salt", "rid", "elements")
-        good = materialize(
-            keyed.repartition("a", "salt")
-            .sortWithinPartitions("a", "salt")
-            .mapInArrow(_verify(self.percent), "a bigint, b bigint")
-            .distinct(),
-            "links",
-        )
-        failed = proposed.join(good, ["a", "b"], "left_anti").select("token").distinct()
-        return good, materialize(failed, "failed"), pairs
+        wanted = materialize(lines.join(self.sets.select("rid", "c", "doc_id"), "rid"), "wanted")
+        texts = self.docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+        elements = texts.mapInArrow(_elements(self.n, self.rarity), "doc_id bigint, c binary, elements binary")
+        keyed = elements.join(wanted, ["doc_id", "c"]).select("a", "salt", "rid", "elements")
+        found = keyed.repartition("a", "salt").sortWithinPartitions("a", "salt").mapInArrow(_verify(self.percent), "a bigint, b bigint")
+        return materialize(found.distinct(), "links")
 
     def labelled(self) -> DataFrame:
         """(doc_id, n_shingles, component_id) of every row."""

@@ -95,26 +95,26 @@ def _unpack(data: bytes, dim: int) -> np.ndarray:
     return np.frombuffer(data, "<i8").reshape(-1, dim)
 
 
-def _segmenter(dim: int, pivots):
-    schema = "segment bigint, ids binary, rows binary, high binary, low binary"
+def _segmenter(dim: int, pivots, segment: int, block: int):
+    schema = "segment bigint, ids binary, rows binary, high binary, low binary, top_high binary, top_low binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, ids, rows = TaskContext.get().partitionId(), 0, [], []
 
         def flush() -> pa.RecordBatch:
             x = _matrix(rows, dim)
-            starts = range(0, len(x), BLOCK)
-            high = np.array([x[i : i + BLOCK].max(axis=0) for i in starts])
-            low = np.array([x[i : i + BLOCK].min(axis=0) for i in starts])
-            values = [(part << 32) + seq, _pack(np.array(ids)), _pack(x), _pack(high), _pack(low)]
-            names = ["segment", "ids", "rows", "high", "low"]
+            starts = range(0, len(x), block)
+            high = np.array([x[i : i + block].max(axis=0) for i in starts])
+            low = np.array([x[i : i + block].min(axis=0) for i in starts])
+            values = [(part << 32) + seq, *map(_pack, (np.array(ids), x, high, low, high.max(axis=0), low.min(axis=0)))]
+            names = ["segment", "ids", "rows", "high", "low", "top_high", "top_low"]
             return pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names=names)
 
         for batch in batches:
             for vec_id, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids.append(vec_id)
                 rows.append(v)
-                if len(ids) == SEGMENT:
+                if len(ids) == segment:
                     yield flush()
                     seq, ids, rows = seq + 1, [], []
         if ids:
@@ -132,12 +132,12 @@ def _segmenter(dim: int, pivots):
     return nearest, cut, schema
 
 
-def index(rows: DataFrame) -> tuple[DataFrame, int]:
+def index(rows: DataFrame, segment: int = SEGMENT, block: int = BLOCK) -> tuple[DataFrame, int]:
     """Segments of the vectors (vec_id, v), stored, and the number of components."""
-    dim = rows.agg(F.max(F.size("v"))).first()[0] or 0
+    dim = rows.agg(F.max(F.size("v"))).first()[0] or 1
     sample = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(PIVOTS).collect()
     held = rows.sparkSession.sparkContext.broadcast(_matrix([r.v for r in sample], dim))
-    nearest, cut, schema = _segmenter(dim, held)
+    nearest, cut, schema = _segmenter(dim, held, segment, block)
     if not sample:
         return rows.sparkSession.createDataFrame([], schema), dim
     ordered = (
@@ -167,7 +167,7 @@ class _Best:
 NO_FLOOR = np.iinfo(np.int64).min
 
 
-def search(q_ids, q, floors, ids, x, high, low, k) -> _Best:
+def search(q_ids, q, floors, ids, x, high, low, k, size) -> _Best:
     """Block-at-a-time search of one segment for several queries."""
     best = _Best(floors, k)
     bound = bounds(q, high, low)
@@ -180,7 +180,7 @@ def search(q_ids, q, floors, ids, x, high, low, k) -> _Best:
         if not len(active):
             break
         for b in np.unique(block):
-            rows = slice(b * BLOCK, (b + 1) * BLOCK)
+            rows = slice(b * size, (b + 1) * size)
             mine = active[block == b]
             scores = products(q[mine], x[rows])
             for i, line in zip(mine, scores, strict=True):
@@ -189,7 +189,7 @@ def search(q_ids, q, floors, ids, x, high, low, k) -> _Best:
     return best
 
 
-def _home(dim: int, k: int, every: int):
+def _home(dim: int, k: int, every: int, block: int):
     """Each segment's queries with their kth score in it."""
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +202,7 @@ def _home(dim: int, k: int, every: int):
                 pairs = sorted({(int(ids[i]), x[i].tobytes()): i for i in mine}.values())
                 q_ids, q = ids[pairs], x[pairs]
                 floors = np.full(len(q), NO_FLOOR)
-                found = search(q_ids, q, floors, ids, x, _unpack(row["high"], dim), _unpack(row["low"], dim), k)
+                found = search(q_ids, q, floors, ids, x, _unpack(row["high"], dim), _unpack(row["low"], dim), k, block)
                 names = ["origin", "q_ids", "q", "floors"]
                 values = [row["segment"], _pack(q_ids), _pack(q), _pack(found.floors)]
                 yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names=names)
@@ -237,7 +237,7 @@ def _wanted(dim: int, part):
     return wanted
 
 
-def _visit(dim: int, k: int):
+def _visit(dim: int, k: int, block: int):
     def visit(segment: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if segment.empty or queries.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
@@ -246,7 +246,7 @@ def _visit(dim: int, k: int):
         q_ids = np.frombuffer(b"".join(queries["q_ids"]), "<i8")
         q = _unpack(b"".join(queries["q"]), dim)
         floors = np.frombuffer(b"".join(queries["floors"]), "<i8")
-        best = search(q_ids, q, floors, ids, x, _unpack(row["high"], dim), _unpack(row["low"], dim), k)
+        best = search(q_ids, q, floors, ids, x, _unpack(row["high"], dim), _unpack(row["low"], dim), k, block)
         rows = [(int(q_ids[i]), vec_id, -s) for i, found in enumerate(best.found) for s, vec_id in found]
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
 
@@ -262,21 +262,22 @@ def top_k(
     scale: float = 256.0,
     bound_bytes: int = BOUND_BYTES,
     groups: int = GROUPS,
+    segment: int = SEGMENT,
+    block: int = BLOCK,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best rows for every row whose id is divisible by ``every``."""
     spark = vectors.sparkSession
-    segments, dim = index(valid(vectors, id_col, vector_col, scale))
+    segments, dim = index(valid(vectors, id_col, vector_col, scale), segment, block)
     group = "origin bigint, q_ids binary, q binary, floors binary"
-    queries = materialize(segments.select("segment", "ids", "rows", "high", "low").mapInArrow(_home(dim, k, every), group), "queries")
+    queries = materialize(segments.select("segment", "ids", "rows", "high", "low").mapInArrow(_home(dim, k, every, block), group), "queries")
     size = segments.count()
-    parts = max(1, -(-size * 16 * max(dim, 1) // bound_bytes))
+    parts = max(1, -(-size * 16 * dim // bound_bytes))
     wants = None
     for p in range(parts):
         some = segments if parts == 1 else segments.where(F.pmod(F.xxhash64("segment"), F.lit(parts)) == p)
-        rows = some.select("segment", "high", "low").orderBy("segment").collect()
+        rows = some.select("segment", "top_high", "top_low").orderBy("segment").collect()
         # At most about bound_bytes: one row of term maxima per segment.
-        high = np.array([_unpack(r.high, dim).max(axis=0) for r in rows]).reshape(-1, dim)
-        low = np.array([_unpack(r.low, dim).min(axis=0) for r in rows]).reshape(-1, dim)
+        high, low = (_unpack(b"".join(column), dim) for column in ([r.top_high for r in rows], [r.top_low for r in rows]))
         held = spark.sparkContext.broadcast(([r.segment for r in rows], high, low))
         found = queries.mapInArrow(_wanted(dim, held), f"segment bigint, {group}")
         wants = found if wants is None else wants.unionByName(found)
@@ -287,7 +288,7 @@ def top_k(
     visits = (
         left.groupBy("segment", "copy")
         .cogroup(wants.withColumn("copy", salt.cast("bigint")).groupBy("segment", "copy"))
-        .applyInPandas(_visit(dim, k), "query_id bigint, vec_id bigint, score bigint")
+        .applyInPandas(_visit(dim, k, block), "query_id bigint, vec_id bigint, score bigint")
     )
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
