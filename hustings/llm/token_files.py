@@ -26,7 +26,6 @@ file has one of its own. An empty table has no files and no rows.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -47,7 +46,7 @@ FILE_IDS = 1 << 20
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words, and parts of words, that a worker remembers the ids of; beyond that it starts afresh.
-_WORDS, _PARTS = 250_000, 600_000
+_WORDS, _PARTS = 400_000, 500_000
 _HEAD = struct.Struct("<4sBBHIIIQ")
 
 
@@ -127,9 +126,8 @@ class TokenFile:
             start += n
 
 
-#: A word of letters, then marks that the tokenizer parts from letters and keeps together.
-_MARKED = re.compile(rb"(.*?)([.,!%$&*#|]+)", re.DOTALL)
-_LETTERS = re.compile(rb"[a-z]+")
+#: Marks that the tokenizer parts from letters before them and keeps together.
+_MARKS = b".,!%$&*#|"
 
 
 class _Encoder:
@@ -149,20 +147,22 @@ class _Encoder:
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 
-    def _pieces(self, word: bytes) -> tuple[bytes, ...]:
+    def _pieces(self, word: bytes) -> tuple[bytes, bytes]:
+        """A word's letters and the marks after them, or the word and nothing."""
         if b"<|" in word:  # may spell a special token, which knows case
-            return (word,)
+            return word, b""
         word = word.lower()
-        found = _MARKED.fullmatch(word)
-        if found and found[1] and found[1].decode("utf-8", "replace")[-1].lower()[-1].isalpha():
-            return found.groups()
-        return (word,)
+        core = word.rstrip(_MARKS)
+        if core and len(core) < len(word) and (core.isalnum() or core.decode("utf-8", "replace")[-1].lower()[-1].isalpha()):
+            return (core, word[len(core) :]) if not core[-1:].isdigit() else (word, b"")
+        return word, b""
 
     def _learn_parts(self, parts: list[bytes]) -> None:
         model, odd = self.tokenizer.model, []
         for p in parts:
-            if _LETTERS.fullmatch(p):
-                self.parts[p] = np.array([t.id for t in model.tokenize(p.decode())], dtype="<u4").tobytes()
+            if p.isalpha():  # of bytes: ASCII letters
+                ids = [t.id for t in model.tokenize(p.decode())]
+                self.parts[p] = struct.pack(f"<{len(ids)}I", *ids)
             else:
                 odd.append(p)
         for start in range(0, len(odd), 5000):
@@ -170,29 +170,39 @@ class _Encoder:
             texts = [w.decode("utf-8", "replace") for w in part]
             begins = np.cumsum([0] + [len(t) + 1 for t in texts])
             found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            ids = np.array(found.ids, dtype="<u4")
+            ids = np.array(found.ids, dtype="<u4").tobytes()
             at = np.array([o[0] for o in found.offsets], dtype=np.int64)
-            cut = np.searchsorted(at, begins)
-            for i, w in enumerate(part):
-                self.parts[w] = ids[cut[i] : cut[i + 1]].tobytes()
+            cut = (4 * np.searchsorted(at, begins)).tolist()
+            for w, a, b in zip(part, cut[:-1], cut[1:], strict=True):
+                self.parts[w] = ids[a:b]
 
     def _learn(self, words: set[bytes]) -> None:
-        pieces = {w: self._pieces(w) for w in words}
-        new = {p for ps in pieces.values() for p in ps if p not in self.parts}
+        pieces = [self._pieces(w) for w in words]
+        need = {p for pair in pieces for p in pair}
+        need.discard(b"")
+        new = need - self.parts.keys()
         if len(self.parts) + len(new) > _PARTS:
             self.parts.clear()
-            new = {p for ps in pieces.values() for p in ps}
-        self._learn_parts(sorted(new))
-        for w, ps in pieces.items():
-            self.words[w] = b"".join(map(self.parts.__getitem__, ps))
+            new = need
+        self._learn_parts(list(new))
+        self.parts[b""] = b""
+        get = self.parts.__getitem__
+        for w, (core, marks) in zip(words, pieces, strict=True):
+            self.words[w] = get(core) + get(marks) if marks else get(core)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        lines = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        new = {w for line in lines for w in line if w not in self.words}
+        lines = []
+        for text in texts:
+            data = (text or "").encode("utf-8", "replace")
+            # The tokenizer lower-cases all but special tokens.
+            lines.append((data if b"<|" in data else data.lower()).split())
+        new: set[bytes] = set()
+        new.update(*lines)
         if len(self.words) + len(new) > _WORDS:
-            self.words.clear()
-            new = {w for line in lines for w in line}
-        self._learn(new)
+            fresh = new - self.words.keys()
+            if len(self.words) + len(fresh) > _WORDS:
+                self.words.clear()
+        self._learn(new - self.words.keys())
         return [b"".join(map(self.words.__getitem__, line)) for line in lines]
 
 
