@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ratio, to_double
+from ..session import materialize
 from .relational import asof_join, null_safe_join, top_per_key
 
 RACE_KEY = ["state", "state_fips", "year", "office", "district", "special"]
@@ -53,12 +54,11 @@ def _leader(party: str | None = None) -> Column:
 def race_summary(results: DataFrame) -> DataFrame:
     """One row per race: party totals, leaders, shares, winner and margin.
 
-    Three narrow answers per race instead of one wide shuffle. Totals and leaders
-    combine before their shuffle to one row per race and task. The runner-up's
-    votes need a rank, which is cut to two rows per race before its shuffle. The
-    distinct count is kept apart: next to the other aggregates it would send
-    their buffers along for every single candidate. A race with very many lines
-    is harmless in each of them.
+    Two reads of the lines. The first adds them up per candidate, then per race;
+    both steps combine before their shuffle, and the number of candidates is the
+    number of first-step groups, so no distinct aggregate is needed. The second,
+    for the runner-up's votes, needs a rank, which is cut to two rows per race
+    before its shuffle. A race with very many lines is harmless in each of them.
     """
     lines = candidate_lines(results)
 
@@ -66,21 +66,26 @@ def race_summary(results: DataFrame) -> DataFrame:
         return F.coalesce(F.sum(F.when(condition, F.col("votes"))), F.lit(0.0))
 
     party = F.col("party")
-    aggregates = [
-        F.max("total_votes").alias("total_votes"),
+    have = set(lines.columns)
+    newest_of = [c for c in ("total_votes", *_PER_RACE_NEWEST) if c in have]
+    # Constant within a race; min keeps the result independent of row order.
+    constant = [c for c in ("election_date", *_PER_RACE_CONSTANTS) if c in have]
+    per_candidate = lines.groupBy(*RACE_KEY, "candidate").agg(
         votes_of(party == "DEM").alias("dem_votes"),
         votes_of(party == "REP").alias("rep_votes"),
         votes_of(~party.isin("DEM", "REP")).alias("other_votes"),
         _leader().alias("_first"),
         _leader("DEM").alias("_dem"),
         _leader("REP").alias("_rep"),
-    ]
-    aggregates += [F.max(c).alias(c) for c in _PER_RACE_NEWEST if c in lines.columns]
-    # Constant within a race; min keeps the result independent of row order.
-    aggregates += [
-        F.min(c).alias(c) for c in ("election_date", *_PER_RACE_CONSTANTS) if c in lines.columns
-    ]
-    totals = lines.groupBy(*RACE_KEY).agg(*aggregates)
+        *[F.max(c).alias(c) for c in newest_of],
+        *[F.min(c).alias(c) for c in constant],
+    )
+    totals = per_candidate.groupBy(*RACE_KEY).agg(
+        *[F.sum(c).alias(c) for c in ("dem_votes", "rep_votes", "other_votes")],
+        *[F.min(c).alias(c) for c in ("_first", "_dem", "_rep", *constant)],
+        *[F.max(c).alias(c) for c in newest_of],
+        F.count("candidate").alias("n_candidates"),
+    )
 
     order = [F.desc("votes"), F.asc("candidate"), F.asc("party")]
     runner_up = (
@@ -91,8 +96,7 @@ def race_summary(results: DataFrame) -> DataFrame:
         .where(F.col("place") == 2)
         .select(*RACE_KEY, F.col("votes").alias("_second_votes"))
     )
-    running = lines.groupBy(*RACE_KEY).agg(F.count_distinct("candidate").alias("n_candidates"))
-    ranked = null_safe_join(null_safe_join(totals, running, RACE_KEY), runner_up, RACE_KEY)
+    ranked = null_safe_join(totals, runner_up, RACE_KEY)
     races = derived_metrics(ranked)
     lead = (F.lit(0.0) - F.col("_first.v")) - F.coalesce("_second_votes", F.lit(0.0))
     out = races.withColumns(
@@ -111,6 +115,12 @@ def race_summary(results: DataFrame) -> DataFrame:
     return out
 
 
+def stored_summary(results: DataFrame) -> DataFrame:
+    """Race summaries in the shared folder, for uses that read them several times:
+    the lines are then read for one summary, however often that is used."""
+    return materialize(race_summary(results), "race-summary")
+
+
 def derived_metrics(summary: DataFrame) -> DataFrame:
     """Vote shares and margins; a zero denominator gives NULL."""
     filled = summary.withColumns(

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..errors import DatasetUnavailableError, PointInTimeError
 from ..functions import geo
 from ..functions.dates import cutoff, election_day
-from ..session import materialize
 from . import candidates as C
 from . import demographics as D
 from . import economics as E
@@ -307,7 +306,7 @@ def _race_summaries(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Computed once and kept in the scratch folder: one row per race."""
     if "election_results" not in tables:
         raise DatasetUnavailableError("no election results loaded")
-    return materialize(L.race_summary(tables["election_results"]), "race-summary")
+    return L.stored_summary(tables["election_results"])
 
 
 def family_rows(

@@ -230,12 +230,12 @@ def _(t: Tables):
     "national_dem_two_party_share",
 )
 def _(t: Tables):
-    return L.national_two_party_share(L.race_summary(t("election_results")))
+    return L.national_two_party_share(L.stored_summary(t("election_results")))
 
 
 @query("ele04_presidential_lean", "select * exclude (l1, l2, l3) from lean_races", LEAN)
 def _(t: Tables):
-    return L.presidential_lean(L.race_summary(t("election_results")))
+    return L.presidential_lean(L.stored_summary(t("election_results")))
 
 
 for _office in ("president", "senate", "house"):
@@ -248,11 +248,11 @@ for _office in ("president", "senate", "house"):
         "prev_dem_two_party_share prev_dem_vote_share prev_rep_vote_share prev_dem_rep_margin",
     )
     def _(t: Tables, office=_office):
-        return L.previous_same_office(L.race_summary(t("election_results")), office)
+        return L.previous_same_office(L.stored_summary(t("election_results")), office)
 
     @query(f"ele06_political_history_{_office}", history('races', _office), HISTORY)
     def _(t: Tables, office=_office):
-        return L.political_history(L.race_summary(t("election_results")), office)
+        return L.political_history(L.stored_summary(t("election_results")), office)
 
 
 @query(
@@ -493,7 +493,7 @@ for _office in ("senate", "house"):
     f"select distinct state, district from races where year = {YEAR} and office = 'house' and not special",
 )
 def _(t: Tables):
-    summary = L.race_summary(t("election_results"))
+    summary = L.stored_summary(t("election_results"))
     return X.race_universe("house", YEAR, summary, t("candidates"), AS_OF)
 
 
@@ -505,7 +505,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     # No results for the cycle yet: the races come from the candidates.
-    summary = L.race_summary(t("election_results")).where(F.col("year") < YEAR)
+    summary = L.stored_summary(t("election_results")).where(F.col("year") < YEAR)
     return X.race_universe("house", YEAR, summary, t("candidates"), AS_OF)
 
 
@@ -515,7 +515,7 @@ def _(t: Tables):
     "and not exists (select 1 from races where year = 2040)",
 )
 def _(t: Tables):
-    summary = L.race_summary(t("election_results"))
+    summary = L.stored_summary(t("election_results"))
     return X.race_universe("president", 2040, summary, t("candidates"), AS_OF)
 
 
@@ -573,7 +573,7 @@ def _(t: Tables):
     TARGETS,
 )
 def _(t: Tables):
-    summary = L.race_summary(t("election_results"))
+    summary = L.stored_summary(t("election_results"))
     rows = L.regular_races(summary, "president").where(F.col("year") == YEAR)
     return rows.select("state", *X.TARGET_COLUMNS)
 
@@ -585,7 +585,7 @@ def _(t: Tables):
     HISTORY,
 )
 def _(t: Tables):
-    summary = L.race_summary(t("election_results"))
+    summary = L.stored_summary(t("election_results"))
     races = X.race_universe("house", YEAR, summary, None, AS_OF)
     return X.history_before(summary, races, YEAR, "house", AS_OF)
 

@@ -16,7 +16,7 @@ _BALLOTS = """(select t.state, t.year, t.ballots_cast as ballots, p.population f
 
 
 def _shares(t: Tables):
-    return X.election_shares(L.race_summary(t("election_results")))
+    return X.election_shares(L.stored_summary(t("election_results")))
 
 
 def _ballots(t: Tables):
@@ -111,7 +111,7 @@ from (
 
 @query("exp04_house_control", _control(_SEATS, 218, False))
 def _(t: Tables):
-    races = L.regular_races(L.race_summary(t("election_results")), "house")
+    races = L.regular_races(L.stored_summary(t("election_results")), "house")
     seats = races.groupBy("year", F.col("winner_party").alias("party")).agg(
         F.count(F.lit(1)).alias("seats")
     )

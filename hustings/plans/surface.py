@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..api.platform import Platform, apply_filters, known_broken, status_frame
+from ..errors import DatasetUnavailableError
 from ..operators.pit import snapshot_as_of
 from ..sources import registry as G
 from ..storage import manifest as M
 from ..storage.lake import run_query, select_from
+from . import bridge
 from .bridge import AS_OF, YEAR
 from .checks import T, history, newest
 from .core import (
@@ -30,7 +32,13 @@ from .registry import Tables, query
 
 def _platform(t: Tables) -> Platform:
     """The subjects over tables derived on demand."""
-    return Platform(t)
+
+    def read(name: str):
+        if name not in bridge.SQL:
+            raise DatasetUnavailableError(f"{name!r} is not derived")
+        return t(name)
+
+    return Platform(read)
 
 
 @query(
