@@ -78,7 +78,7 @@ class FeatureBuild:
         return missingness(self.frame)
 
     def audit(self) -> DataFrame:
-        return audit_families(self.families, self.as_of)
+        return audit_families(self.families, self.as_of, self.year)
 
 
 def race_universe(
@@ -259,9 +259,10 @@ def families_provenance(rows: Mapping[str, DataFrame | None], spark) -> DataFram
     )
 
 
-def audit_families(families: DataFrame, as_of: AsOf) -> DataFrame:
-    """Per family: available or not, last publication day, and whether anything
-    in it (labels aside) came out after the cut."""
+def audit_families(families: DataFrame, as_of: AsOf, year: int) -> DataFrame:
+    """Per family: available or not, last publication day, whether anything in it
+    (labels aside) came out after the cut, and whether the cut lies before the
+    election of ``year``."""
     late = F.col("max_publication_date") > F.lit(cutoff(as_of))
     return families.select(
         "family",
@@ -269,11 +270,13 @@ def audit_families(families: DataFrame, as_of: AsOf) -> DataFrame:
         "max_publication_date",
         F.col("publication_date_estimated_share").alias("estimated_share"),
         (F.coalesce(late, F.lit(False)) & (F.col("family") != "targets")).alias("post_as_of"),
+        F.lit(cutoff(as_of) < election_day(year)).alias("forecast_before_election"),
     )
 
 
 def verify_no_leakage(families: DataFrame, as_of: AsOf) -> None:
-    late = [row.family for row in audit_families(families, as_of).where("post_as_of").collect()]
+    audit = audit_families(families, as_of, cutoff(as_of).year)
+    late = [row.family for row in audit.where("post_as_of").collect()]
     if late:
         raise PointInTimeError(f"published after {cutoff(as_of)}: {', '.join(late)}")
 
@@ -296,7 +299,7 @@ def audit_features(
     cut = cutoff(as_of) if as_of is not None else election_day(year) - dt.timedelta(days=1)
     summary = _race_summaries(tables)
     rows = family_rows(tables, summary, year, office, cut)
-    return audit_families(families_provenance(rows, summary.sparkSession), cut)
+    return audit_families(families_provenance(rows, summary.sparkSession), cut, year)
 
 
 # -------------------------------------------------------------------- assembly
@@ -336,7 +339,7 @@ def build_features(
     as_of: AsOf | None = None,
     *,
     states: Sequence[str] | None = None,
-    strict: bool = False,
+    strict: bool = True,
     summary: DataFrame | None = None,
 ) -> FeatureBuild:
     """The modelling table for ``office`` races of ``year`` as of a date (the day

@@ -485,7 +485,7 @@ for _office in ("senate", "house"):
 
     @query(f"fea01_build_features_{_office}", features_oracle(_office), FEATURE_RATIOS)
     def _(t: Tables, office=_office):
-        return X.build_features(t.many(FEATURE_TABLES), YEAR, office, AS_OF).frame
+        return X.build_features(t.many(FEATURE_TABLES), YEAR, office, AS_OF, strict=False).frame
 
 
 @query(
@@ -547,7 +547,7 @@ def _audit_oracle() -> str:
             where += f" and cycle = {YEAR} and retrieval_date <= {T}"
         parts.append(
             f"""select '{family}' as family, count(*) > 0 as available, max(publication_date) as max_publication_date,
-            round(avg(cast(publication_date_estimated as int)), 3) as estimated_share, false as post_as_of
+            round(avg(cast(publication_date_estimated as int)), 3) as estimated_share, false as post_as_of, true as forecast_before_election
             from {source} where {where}"""
         )
     return " union all ".join(parts)
