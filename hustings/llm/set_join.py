@@ -12,16 +12,19 @@ implied: the result is the connected groups, without listing pairs inside them.
    are posted. Postings of one element form a group; groups of equal members (by two
    xor digests and their number) are kept once, groups of one are dropped. A group
    over ``BLOCK`` members is dealt into blocks that meet pairwise.
-3. A task compares a group's members by length and by parity sketches, whose distance
+3. Postings join classes to clusters. A cluster whose sets have ``CLUSTER`` elements at
+   most is joined by one task: its sets make a trie, which every set walks (as in 5). A
+   larger one goes on:
+4. A task compares a group's members by length and by parity sketches, whose distance
    never exceeds the size of the symmetric difference: what they rule out cannot
    link. Of the pairs left it proposes a spanning forest, not all pairs.
-4. Proposed pairs are verified: the members proposed to one class are put in a trie
+5. Proposed pairs are verified: the members proposed to one class are put in a trie
    by their ordered sets, and the class's set walks it, sharing the overlap of common
    beginnings and leaving subtrees whose remaining lengths cannot reach the needed
    overlap. A class with many members is dealt over tasks.
-5. Where a proposed pair fails, all pairs of its groups that the sketches allow and
+6. Where a proposed pair fails, all pairs of its groups that the sketches allow and
    that are not in one component yet are verified too. So no link is lost.
-6. Components are labelled by rounds of least neighbours and pointer jumping, each
+7. Components are labelled by rounds of least neighbours and pointer jumping, each
    stored in the shared folder. Nothing but counts and the counters (a fixed
    ``SLOTS`` numbers) reaches the driver.
 
@@ -50,6 +53,8 @@ _SLICES = 16
 BLOCK = 4096
 #: Members of a class verified in one trie.
 TRIE = 256
+#: Elements of all sets of a cluster that one task joins whole.
+CLUSTER = 1 << 17
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _LOW = np.uint64((1 << 58) - 1)
 
@@ -166,10 +171,9 @@ def ordered(s: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     return np.sort(s | rarity[(s % SLOTS).astype(np.int64)] << np.uint64(58))
 
 
-def sketch(s: np.ndarray, percent: int) -> bytes:
-    """Parities of a set's elements over a power of two of bits: at least as many as
-    elements, or twice as many where linked sets may differ more."""
-    bits = 1 << max(7, int((1 if percent >= 90 else 2) * len(s) - 1).bit_length())
+def sketch(s: np.ndarray) -> bytes:
+    """Parities of a set's elements over at least four bits each, a power of two in number."""
+    bits = 1 << max(7, int(4 * len(s) - 1).bit_length())
     return np.packbits(np.bincount((s % bits).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
@@ -187,7 +191,7 @@ def _profile(n: int, percent: int, rarity):
                     continue  # too small to link with another set
                 first = size - (-(-percent * size // 100)) + 1
                 line = ordered(s, rarity.value)
-                out.append((doc_id, _digest(s), size, line[:first].view(np.int64).tolist(), sketch(s, percent)))
+                out.append((doc_id, _digest(s), size, line[:first].view(np.int64).tolist(), sketch(s)))
             if out:
                 types = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
@@ -376,6 +380,40 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["doc_id", "packed"])
 
 
+def _cluster(n: int, percent: int, rarity):
+    """Labels of the members of whole clusters: the least member each is linked with."""
+
+    def cluster(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, zstd = Shingler(n), zstandard.ZstdDecompressor()
+        for table in _groups(batches, 1):
+            found: list[tuple[int, int]] = []
+            edges = _bounds(table, 1)
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                sets = {}
+                for r in table.slice(low, high - low).to_pylist():
+                    s = shingles(zstd.decompress(r["packed"]).decode())
+                    if _digest(s) == r["c"]:  # else another text of the same id
+                        sets[r["rid"]] = ordered(s, rarity.value)
+                root = {rid: rid for rid in sets}
+
+                def find(x: int, root=root) -> int:
+                    while root[x] != x:
+                        root[x] = root[root[x]]
+                        x = root[x]
+                    return x
+
+                trie = Trie(list(sets.items())) if len(sets) > 1 else None
+                for rid, s in sets.items() if trie else ():
+                    for other in trie.linked(s, percent):
+                        a, b = find(rid), find(other)
+                        root[max(a, b)] = min(a, b)
+                found += [(rid, find(rid)) for rid in sets]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["rid", "comp"])
+
+    return cluster
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(rid, comp): the least node that each node of the edges (a, b) reaches."""
     both = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
@@ -451,15 +489,34 @@ class Join:
         tokens = materialize(tokens.select("token", F.ceil(F.col("members") / BLOCK).alias("blocks")), "tokens")
         kept = materialize(postings.join(tokens, "token"), "postings")
         mine = F.pmod(F.xxhash64("rid"), F.col("blocks"))
+        # Members of one cluster of postings may link, others cannot. A cluster that a task
+        # can hold is joined whole, each text travelling once; of larger ones, groups are.
+        centres = kept.groupBy("token").agg(F.min("rid").alias("a"))
+        stars = kept.join(centres, "token").select("a", F.col("rid").alias("b")).where("a <> b").distinct()
+        clusters = materialize(
+            components(stars).join(self.sets.select("rid", "n", "c", "doc_id"), "rid").withColumnRenamed("comp", "cluster"), "clusters"
+        )
+        weights = clusters.groupBy("cluster").agg(F.sum("n").alias("elements"))
+        fits = weights.where(F.col("elements") <= CLUSTER).select("cluster")
+        whole = clusters.join(fits, "cluster").select("cluster", "rid", "c", "doc_id")
+        texts = self._texts().join(whole, "doc_id").select("cluster", "rid", "c", "packed")
+        small = materialize(
+            texts.repartition("cluster")
+            .sortWithinPartitions("cluster", "rid")
+            .mapInArrow(_cluster(self.n, self.percent, self.rarity), "rid bigint, comp bigint"),
+            "small",
+        )
+        large = materialize(clusters.join(fits, "cluster", "left_anti").select("rid"), "large")
+        kept = kept.join(large, "rid", "left_semi")
         meets = kept.withColumn("mine", mine).withColumn(
             "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
         )
         placed = meets.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rid")
         found = self._verified(self._proposed(placed.join(sizes, "rid").withColumn("comp", F.col("rid")), False), None, None)
-        if found is None:
-            return self.classes.select("c", F.col("least").alias("component"))
-        links, labels, failed, tried = found
-        if failed.limit(1).count():
+        links = labels = None
+        if found is not None:
+            links, labels, failed, tried = found
+        if found is not None and failed.limit(1).count():
             again = (
                 placed.join(failed, "token")
                 .join(sizes, "rid")
@@ -469,7 +526,7 @@ class Join:
             more = self._verified(self._proposed(again, True), links, tried)
             if more is not None:
                 links, labels = more[:2]
-        self.links = links
+        labels = small if labels is None else small.unionByName(labels)
         named = self.sets.select("rid", "c").join(labels, "rid").join(self.classes, "c")
         least = named.groupBy("comp").agg(F.min("least").alias("component"))
         found = named.join(least, "comp").select("c", "component")
@@ -503,8 +560,14 @@ class Join:
             links = links.unionByName(self._links(rest))
             labels = components(links)
         done = first.unionByName(rest)
-        failed = apart(proposed.join(links.select("a", "b"), ["a", "b"], "left_anti"), labels)
-        return links, labels, materialize(failed.select("token").distinct(), "failed"), done
+        failed = materialize(apart(pairs.join(links.select("a", "b"), ["a", "b"], "left_anti"), labels), "failed")
+        tokens = proposed.join(failed, ["a", "b"], "left_semi").select("token").distinct()
+        return links, labels, materialize(tokens, "failed-tokens"), done
+
+    def _texts(self) -> DataFrame:
+        """(doc_id, packed): texts as they travel, packed to a third of their size and a quarter of their sets'."""
+        known = self.docs.where("doc_id is not null and text is not null")
+        return known.mapInArrow(_packed, "doc_id bigint, packed binary")
 
     def _links(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose sets link, stored."""
@@ -514,9 +577,7 @@ class Join:
             dealt.select("a", "salt", F.col("a").alias("rid")).distinct()
         )
         wanted = materialize(lines.join(self.sets.select("rid", "c", "doc_id"), "rid"), "wanted")
-        # Texts travel packed: a third of their size, and a quarter of their sets'.
-        packed = self.docs.where("doc_id is not null and text is not null").mapInArrow(_packed, "doc_id bigint, packed binary")
-        keyed = packed.join(wanted, "doc_id").select("a", "salt", "rid", "c", "packed")
+        keyed = self._texts().join(wanted, "doc_id").select("a", "salt", "rid", "c", "packed")
         found = (
             keyed.repartition("a", "salt")
             .sortWithinPartitions("a", "salt")
