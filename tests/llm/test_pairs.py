@@ -48,8 +48,11 @@ def edited(rng, words, share):
     return " ".join(f"x{rng.randrange(10**6)}" if rng.random() < share else w for w in words)
 
 
-def test_set_join_of_a_large_group(spark, monkeypatch):
-    """Edits of edits: chains of links, blocks that meet pairwise, and pairs near the threshold."""
+@pytest.mark.parametrize("cluster", [10, set_join.CLUSTER, 4000])
+def test_set_join_of_a_large_group(spark, monkeypatch, cluster):
+    """Edits of edits: chains of links, blocks that meet pairwise, and pairs near the threshold.
+    As one cluster that a task holds, as one that none does, and some of each."""
+    monkeypatch.setattr(set_join, "CLUSTER", cluster)
     monkeypatch.setattr(set_join, "BLOCK", 32)
     monkeypatch.setattr(set_join, "TRIE", 8)
     rng = random.Random(3)
@@ -57,6 +60,9 @@ def test_set_join_of_a_large_group(spark, monkeypatch):
     texts = [" ".join(base)]
     while len(texts) < 160:
         texts.append(edited(rng, rng.choice(texts).split(), rng.choice([0.005, 0.01, 0.02, 0.05])))
+    for k in range(20):  # small clusters beside the large one
+        other = [f"o{k}-{rng.randrange(900)}" for _ in range(60)]
+        texts += [edited(rng, other, 0.01) for _ in range(4)]
     rows = list(enumerate(texts))
     rng.shuffle(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
