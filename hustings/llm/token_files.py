@@ -26,6 +26,7 @@ file has one of its own. An empty table has no files and no rows.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -45,8 +46,8 @@ BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 20
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words, and parts of words, that a worker remembers the ids of; beyond that it starts afresh.
-_WORDS, _PARTS = 400_000, 500_000
+#: Words that a worker remembers the ids of; beyond that it starts afresh.
+_WORDS = 700_000
 _HEAD = struct.Struct("<4sBBHIIIQ")
 
 
@@ -126,18 +127,19 @@ class TokenFile:
             start += n
 
 
-#: Marks that the tokenizer parts from letters before them and keeps together.
-_MARKS = b".,!%$&*#|"
+#: Marks at the end of a word of letters. The tokenizer parts them from letters and keeps
+#: them together, so that a space between changes nothing.
+_MARKED = re.compile(rb"(?<=[a-z])[.,!%$&*#|]+(?=[ \t-\r]|\Z)")
 
 
 class _Encoder:
     """Ids of texts through a tokenizer that never joins words across ASCII space.
 
-    A different word passes the tokenizer once per worker. Words that differ in the
-    case of ASCII letters or in marks at their end share the work: the tokenizer
-    lower-cases, and parts letters from other marks before it merges. A run of plain
-    letters is one such part and goes to the tokenizer's model directly; all else
-    passes the whole tokenizer in one string, told apart by token offsets.
+    A different word passes the tokenizer once per worker, without the case of ASCII
+    letters, as the tokenizer lower-cases all but special tokens, and without marks at
+    its end, which are words of their own. Plain letters are one word to the tokenizer
+    and go to its model directly; all else passes the whole tokenizer in one string,
+    told apart by token offsets.
     """
 
     def __init__(self, path: str):
@@ -145,26 +147,15 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
-
-    def _pieces(self, word: bytes) -> tuple[bytes, bytes]:
-        """A word's letters and the marks after them, or the word and nothing."""
-        if b"<|" in word:  # may spell a special token, which knows case
-            return word, b""
-        word = word.lower()
-        core = word.rstrip(_MARKS)
-        if core and len(core) < len(word) and (core.isalnum() or core.decode("utf-8", "replace")[-1].lower()[-1].isalpha()):
-            return (core, word[len(core) :]) if not core[-1:].isdigit() else (word, b"")
-        return word, b""
-
-    def _learn_parts(self, parts: list[bytes]) -> None:
-        model, odd = self.tokenizer.model, []
-        for p in parts:
-            if p.isalpha():  # of bytes: ASCII letters
-                ids = [t.id for t in model.tokenize(p.decode())]
-                self.parts[p] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def _learn(self, words: list[bytes]) -> None:
+        tokenize, odd = self.tokenizer.model.tokenize, []
+        for w in words:
+            if w.isalpha():  # of bytes: ASCII letters
+                ids = [t.id for t in tokenize(w.decode())]
+                self.words[w] = struct.pack(f"<{len(ids)}I", *ids)
             else:
-                odd.append(p)
+                odd.append(w)
         for start in range(0, len(odd), 5000):
             part = odd[start : start + 5000]
             texts = [w.decode("utf-8", "replace") for w in part]
@@ -174,35 +165,23 @@ class _Encoder:
             at = np.array([o[0] for o in found.offsets], dtype=np.int64)
             cut = (4 * np.searchsorted(at, begins)).tolist()
             for w, a, b in zip(part, cut[:-1], cut[1:], strict=True):
-                self.parts[w] = ids[a:b]
-
-    def _learn(self, words: set[bytes]) -> None:
-        pieces = [self._pieces(w) for w in words]
-        need = {p for pair in pieces for p in pair}
-        need.discard(b"")
-        new = need - self.parts.keys()
-        if len(self.parts) + len(new) > _PARTS:
-            self.parts.clear()
-            new = need
-        self._learn_parts(list(new))
-        self.parts[b""] = b""
-        get = self.parts.__getitem__
-        for w, (core, marks) in zip(words, pieces, strict=True):
-            self.words[w] = get(core) + get(marks) if marks else get(core)
+                self.words[w] = ids[a:b]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         lines = []
         for text in texts:
             data = (text or "").encode("utf-8", "replace")
-            # The tokenizer lower-cases all but special tokens.
-            lines.append((data if b"<|" in data else data.lower()).split())
-        new: set[bytes] = set()
-        new.update(*lines)
+            if b"<|" in data:  # may spell a special token, which knows case
+                lines.append([w if b"<|" in w else w.lower() for w in data.split()])
+            else:
+                lines.append(_MARKED.sub(rb" \g<0>", data.lower()).split())
+        used: set[bytes] = set()
+        used.update(*lines)
+        new = used - self.words.keys()
         if len(self.words) + len(new) > _WORDS:
-            fresh = new - self.words.keys()
-            if len(self.words) + len(fresh) > _WORDS:
-                self.words.clear()
-        self._learn(new - self.words.keys())
+            self.words.clear()
+            new = used
+        self._learn(list(new))
         return [b"".join(map(self.words.__getitem__, line)) for line in lines]
 
 
