@@ -17,7 +17,7 @@ SAMPLE = (
     "pol02_approval_features pol04_race_polls_senate nrm01_normalize_returns nrm10_normalize_acs "
     "dq12_validate_table join04_asof_inclusive exp03_national_totals_president api16_snapshot"
 ).split()
-NAMES = SAMPLE if os.environ.get("FEW_QUERIES") else [n for n in ORACLES if n in TABLE_QUERIES]
+NAMES = [n for n in ORACLES if n in TABLE_QUERIES] if os.environ.get("ALL_QUERIES") else SAMPLE
 
 
 def text(value):
