@@ -26,8 +26,9 @@ they decide the order only, never a result.
 Cases: vectors that are null, empty, or hold null, non-finite or (scaled) 62-bit
 components take no part, nor do rows without an id. A shorter vector counts as
 filled up with zeros. A query never meets rows of its own id; several equal rows
-of one query are one query; other repeated rows are candidates each. Ties go to
-smaller ids. With fewer than k candidates all are returned; an empty table gives
+of one query are one query, in whatever segments they lie; where the rows of one id
+have different vectors, a candidate counts once, with its best score over them. Other
+repeated rows are candidates each. Ties go to smaller ids. With fewer than k candidates all are returned; an empty table gives
 no rows. Extra columns are not read.
 """
 
@@ -153,12 +154,12 @@ class _Best:
 
     def __init__(self, floors: np.ndarray, k: int):
         self.k, self.floors = k, floors.copy()
-        self.found: list[list[tuple[int, int]]] = [[] for _ in floors]
+        self.found: list[list[tuple[int, int, int]]] = [[] for _ in floors]
 
-    def add(self, i: int, scores: np.ndarray, ids: np.ndarray) -> None:
+    def add(self, i: int, scores: np.ndarray, ids: np.ndarray, at: np.ndarray) -> None:
         keep = np.flatnonzero(scores >= self.floors[i])
         if len(keep):
-            best = sorted(self.found[i] + [(-int(scores[j]), int(ids[j])) for j in keep])[: self.k]
+            best = sorted(self.found[i] + [(-int(scores[j]), int(ids[j]), int(at[j])) for j in keep])[: self.k]
             self.found[i] = best
             if len(best) == self.k:
                 self.floors[i] = max(self.floors[i], -best[-1][0])
@@ -184,8 +185,8 @@ def search(q_ids, q, floors, ids, x, high, low, k, size) -> _Best:
             mine = active[block == b]
             scores = products(q[mine], x[rows])
             for i, line in zip(mine, scores, strict=True):
-                other = ids[rows] != q_ids[i]
-                best.add(i, line[other], ids[rows][other])
+                other = np.flatnonzero(ids[rows] != q_ids[i])
+                best.add(i, line[other], ids[rows][other], rows.start + other)
     return best
 
 
@@ -203,13 +204,27 @@ def _home(dim: int, k: int, every: int, block: int):
                 q_ids, q = ids[pairs], x[pairs]
                 floors = np.full(len(q), NO_FLOOR)
                 found = search(q_ids, q, floors, ids, x, _unpack(row["high"], dim), _unpack(row["low"], dim), k, block)
-                names = ["origin", "q_ids", "q", "floors"]
-                values = [row["segment"], _pack(q_ids), _pack(q), _pack(found.floors)]
-                yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names=names)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row["segment"]] * len(q), pa.int64()),
+                        pa.array(q_ids, pa.int64()),
+                        pa.array([_pack(v) for v in q], pa.binary()),
+                        pa.array(found.floors, pa.int64()),
+                    ],
+                    names=["origin", "query_id", "q", "floor"],
+                )
 
     return home
 
 
+def _distinct(queries: DataFrame) -> DataFrame:
+    """Query groups (origin, queries): a query found in several segments stays with the
+    first of them, with its best kth score."""
+    once = queries.groupBy("query_id", "q").agg(F.min("origin").alias("origin"), F.max("floor").alias("floor"))
+    # At most SEGMENT queries have one origin.
+    return once.groupBy("origin").agg(F.collect_list(F.struct("query_id", "q", "floor")).alias("queries"))
+
+
 def _wanted(dim: int, part):
     """The segments that each query has to visit."""
 
@@ -217,8 +232,8 @@ def _wanted(dim: int, part):
         segments, high, low = part.value
         for batch in batches:
             for row in batch.to_pylist():
-                q, floors = _unpack(row["q"], dim), np.frombuffer(row["floors"], "<i8")
-                q_ids = np.frombuffer(row["q_ids"], "<i8")
+                q = _unpack(b"".join(r["q"] for r in row["queries"]), dim)
+                q_ids, floors = (np.array([r[c] for r in row["queries"]], np.int64) for c in ("query_id", "floor"))
                 need = bounds(q, high, low) >= floors[:, None]
                 at = np.flatnonzero(need.any(axis=0))
                 for some in np.array_split(at, -(-len(at) // 64) or 1):
@@ -238,17 +253,19 @@ def _wanted(dim: int, part):
 
 
 def _visit(dim: int, k: int, block: int):
+    names = ["query_id", "segment", "at", "vec_id", "score"]
+
     def visit(segment: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if segment.empty or queries.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+            return pd.DataFrame({c: [] for c in names}).astype("int64")
         row = segment.iloc[0]
         ids, x = np.frombuffer(row["ids"], "<i8"), _unpack(row["rows"], dim)
         q_ids = np.frombuffer(b"".join(queries["q_ids"]), "<i8")
         q = _unpack(b"".join(queries["q"]), dim)
         floors = np.frombuffer(b"".join(queries["floors"]), "<i8")
         best = search(q_ids, q, floors, ids, x, _unpack(row["high"], dim), _unpack(row["low"], dim), k, block)
-        rows = [(int(q_ids[i]), vec_id, -s) for i, found in enumerate(best.found) for s, vec_id in found]
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
+        rows = [(int(q_ids[i]), int(row["segment"]), at, vec_id, -s) for i, found in enumerate(best.found) for s, vec_id, at in found]
+        return pd.DataFrame(rows, columns=names).astype("int64")
 
     return visit
 
@@ -269,7 +286,10 @@ def top_k(
     spark = vectors.sparkSession
     segments, dim = index(valid(vectors, id_col, vector_col, scale), segment, block)
     group = "origin bigint, q_ids binary, q binary, floors binary"
-    queries = materialize(segments.select("segment", "ids", "rows", "high", "low").mapInArrow(_home(dim, k, every, block), group), "queries")
+    home = segments.select("segment", "ids", "rows", "high", "low").mapInArrow(
+        _home(dim, k, every, block), "origin bigint, query_id bigint, q binary, floor bigint"
+    )
+    queries = materialize(_distinct(home), "queries")
     size = segments.count()
     parts = max(1, -(-size * 16 * dim // bound_bytes))
     wants = None
@@ -288,11 +308,13 @@ def top_k(
     visits = (
         left.groupBy("segment", "copy")
         .cogroup(wants.withColumn("copy", salt.cast("bigint")).groupBy("segment", "copy"))
-        .applyInPandas(_visit(dim, k, block), "query_id bigint, vec_id bigint, score bigint")
+        .applyInPandas(_visit(dim, k, block), "query_id bigint, segment bigint, at bigint, vec_id bigint, score bigint")
     )
+    # The vectors of one id may have found the same row.
+    once = visits.groupBy("query_id", "segment", "at").agg(F.min("vec_id").alias("vec_id"), F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
-        visits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
     )
 
 

@@ -156,6 +156,29 @@ def test_top_k(spark, options):
     assert got == nearest([r for r in rows if r[0] != 306], 10, 5)
 
 
+@pytest.mark.parametrize("groups", [1, 512])
+def test_top_k_of_copies_across_segments(spark, groups):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(0, 1, 4).round(1).tolist()) for i in range(1, 60)]
+    rows += [(100, [1.0, 2.0, -1.0, 0.5])] * 100  # more than two segments of one query
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vector_search.top_k(frame, 100, segment=40, block=8, groups=groups).collect()
+    assert sorted(tuple(r) for r in got) == nearest(rows, 100, 5)
+
+
+@pytest.mark.parametrize("groups", [1, 512])
+def test_top_k_of_an_id_with_different_vectors(spark, groups):
+    rng = np.random.default_rng(4)
+    rows = [(i // 2, rng.normal(0, 1, 4).round(1).tolist()) for i in range(2, 160)]  # two rows of an id are two candidates
+    mine = [rng.normal(0, 1, 4).round(1).tolist() for _ in range(70)]
+    mine += [mine[0], [1.0], [1.0, 0.0]]
+    frame = spark.createDataFrame(rows + [(100, v) for v in mine], "vec_id long, embedding array<double>")
+    got = vector_search.top_k(frame, 100, segment=40, block=8, groups=groups).collect()
+    scaled = lambda v: [int(np.floor(256 * x)) for x in v]
+    best = [(-max(sum(a * b for a, b in zip(scaled(v), scaled(w))) for v in mine), i) for i, w in rows]
+    assert sorted(tuple(r) for r in got) == [(100, r + 1, i, -s) for r, (s, i) in enumerate(sorted(best)[:5])]
+
+
 def test_top_k_of_few_and_none(spark):
     rows = [(0, [1.0]), (1, [2.0]), (2, [2.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
