@@ -12,8 +12,8 @@ each task sends one vector per language. The model is ``dims`` numbers for each
 language: bounded by the number of languages, whatever the data.
 
 Cases: a text that is null, or has no letter, is ``und`` with score 0, and so is
-every text when nothing could be learned. Documents without a language do not
-teach. Of equal cosines, the language first by code point wins. Repeated rows are
+every text when nothing could be learned; ``identified`` drops the former only.
+Documents without a language do not teach. Of equal cosines, the language first by code point wins. Repeated rows are
 scored alike; an empty table gives an empty result; extra columns pass through.
 """
 
@@ -128,7 +128,7 @@ def fit(
     return {lang: v for lang, v in sorted(out.items()) if v.any()}
 
 
-def _guess(model, text_col: str, names: tuple[str, str], dims: int, seed: int):
+def _guess(model, text_col: str, names: tuple[str, str], dims: int, seed: int, letterless: str | None):
     def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = _Space(dims, seed)
         langs = list(model.value)
@@ -137,7 +137,7 @@ def _guess(model, text_col: str, names: tuple[str, str], dims: int, seed: int):
             found, scores = [], []
             for text in batch.column(batch.schema.get_field_index(text_col)).to_pylist():
                 keys, counts = space.trigrams(text)
-                best, score = UNKNOWN, 0.0
+                best, score = UNKNOWN if len(keys) else letterless, 0.0
                 if len(keys) and langs:
                     v = space.bundle(keys, counts)
                     cosines = profiles @ v / max(np.linalg.norm(v), 1e-9)
@@ -159,12 +159,13 @@ def predict(
     text_col: str = "text",
     names: tuple[str, str] = ("lang_pred", "score"),
     seed: int = SEED,
+    letterless: str | None = UNKNOWN,
 ) -> DataFrame:
-    """``docs`` with the language and the cosine to its prototype added."""
+    """``docs`` with the language (``letterless`` for texts without letters) and the cosine to its prototype added."""
     dims = len(next(iter(model.values()))) if model else DIMS
     out = docs.withColumns({names[0]: F.lit(None).cast("string"), names[1]: F.lit(None).cast("double")})
     held = docs.sparkSession.sparkContext.broadcast(model)
-    return out.mapInArrow(_guess(held, text_col, names, dims, seed), out.schema)
+    return out.mapInArrow(_guess(held, text_col, names, dims, seed, letterless), out.schema)
 
 
 def training(docs: DataFrame, doc_id: Column | None = None) -> DataFrame:
@@ -173,11 +174,11 @@ def training(docs: DataFrame, doc_id: Column | None = None) -> DataFrame:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents of no language; columns as they were."""
+    """``docs`` without the documents whose text has no letter, whatever could be learned; columns as they were."""
     names = (free_name(docs, "lang_pred"), free_name(docs, "score"))
     model = fit(training(docs.select("doc_id", "text", "lang")))
-    found = predict(docs, model, names=names)
-    return found.where(F.col(names[0]) != UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = predict(docs, model, names=names, letterless=None)
+    return found.where(F.col(names[0]).isNotNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:

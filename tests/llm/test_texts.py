@@ -83,6 +83,13 @@ def test_language(odd, nothing):
     assert {r.lang_pred for r in language.digest(odd.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_language_keeps_letters_without_labels(odd, odd_rows, lang):
+    kept = language.identified(odd.withColumn("lang", F.lit(lang).cast("string")))
+    assert kept.columns == odd.columns
+    assert kept.count() == sum(any(c.isalpha() for c in r[1] or "") for r in odd_rows)
+
+
 def test_language_held_out(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     told = language.digest(docs).join(docs, "doc_id").where("held_out")
