@@ -12,6 +12,7 @@ from hustings.operators import elections as L
 from hustings.operators import features as X
 from hustings.operators import pit
 from hustings.operators import quality as Q
+from hustings.plans import QUERIES
 from hustings.sources import readers
 
 D = dt.date
@@ -67,6 +68,14 @@ def test_every_score_cell(spark):
     assert (row.naep_read_grade4, row.naep_math_grade12, row.naep_scie_grade4) == (204.0, 212.0, 204.0)
 
 
+def test_registered_builds_check_leakage(spark, sf_dir, monkeypatch):
+    checked, check = [], X.verify_no_leakage
+    monkeypatch.setattr(X, "verify_no_leakage", lambda families, cut: checked.append(cut) or check(families, cut))
+    for office in ("senate", "house"):
+        QUERIES[f"fea01_build_features_{office}"].run(spark, sf_dir)
+    assert checked == [D(2000, 10, 20)] * 2
+
+
 def test_every_measure(spark):
     rows = [("m7", D(2000, 1, 1), None, 7.0, D(2000, 2, 1)), ("cpi_core", D(2000, 1, 1), True, 1.0, D(2000, 2, 1))]
     df = spark.createDataFrame(rows, "measure string, date date, seasonally_adjusted boolean, value double, publication_date date")
