@@ -4,6 +4,7 @@ as it was known on a date, and the provenance of each family."""
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
@@ -158,6 +159,25 @@ def turnout_before(
     )
 
 
+def _naep_names(cells: Sequence[tuple[str, int]]) -> list[str]:
+    """A column name for each cell: four letters of the subject, or the whole subject
+    where further cells share them at a grade. Spark's names know no case, so a
+    number parts subjects that differ in it only."""
+    shared = Counter((subject[:4].lower(), grade) for subject, grade in cells)
+    names: list[str] = []
+    taken: set[str] = set()
+    for subject, grade in cells:
+        fixed = (subject, grade) in NAEP_CELLS
+        stem = subject[:4] if fixed or shared[subject[:4].lower(), grade] == 1 else subject
+        name, n = f"naep_{stem}_grade{grade}", 1
+        while name.lower() in taken:
+            n += 1
+            name = f"naep_{stem}_{n}_grade{grade}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
 def naep_wide(naep: DataFrame, as_of: AsOf) -> DataFrame:
     """Newest public score per state, subject and grade, one column each: the four
     usual ones and, found by one distinct job, all others in the data."""
@@ -167,6 +187,7 @@ def naep_wide(naep: DataFrame, as_of: AsOf) -> DataFrame:
     )
     found = naep.select("subject", "grade").where("subject is not null and grade is not null").distinct()
     more = sorted({(r.subject, int(r.grade)) for r in found.collect()} - set(NAEP_CELLS))
+    cells = [*NAEP_CELLS, *more]
     return latest.groupBy("state").agg(
         *[
             F.max(
@@ -174,8 +195,8 @@ def naep_wide(naep: DataFrame, as_of: AsOf) -> DataFrame:
                     (F.col("subject") == subject) & (F.col("grade") == grade),
                     F.col("average_score"),
                 )
-            ).alias(f"naep_{subject[:4]}_grade{grade}")
-            for subject, grade in [*NAEP_CELLS, *more]
+            ).alias(name)
+            for (subject, grade), name in zip(cells, _naep_names(cells), strict=True)
         ],
         F.max("assessment_year").alias("naep_year"),
     )

@@ -68,6 +68,17 @@ def test_every_score_cell(spark):
     assert (row.naep_read_grade4, row.naep_math_grade12, row.naep_scie_grade4) == (204.0, 212.0, 204.0)
 
 
+def test_score_columns_have_names_of_their_own(spark):
+    cells = [(4, "reading"), (4, "readiness"), (8, "history"), (8, "histology"), (8, "History"), (12, "history"), (8, "hist")]
+    rows = [("PA", 2000, g, s, 200.0 + i, D(2000, 1, 1)) for i, (g, s) in enumerate(cells)]
+    naep = spark.createDataFrame(rows, "state string, assessment_year int, grade int, subject string, average_score double, publication_date date")
+    row = X.naep_wide(naep, "2000-10-20").first().asDict()
+    assert len({c.lower() for c in row}) == len(row) == 12
+    assert (row["naep_read_grade4"], row["naep_readiness_grade4"], row["naep_hist_grade12"]) == (200.0, 201.0, 205.0)
+    assert (row["naep_histology_grade8"], row["naep_hist_grade8"]) == (203.0, 206.0)
+    assert sorted(v for c, v in row.items() if c.lower().startswith("naep_history")) == [202.0, 204.0]
+
+
 def test_registered_builds_check_leakage(spark, sf_dir, monkeypatch):
     checked, check = [], X.verify_no_leakage
     monkeypatch.setattr(X, "verify_no_leakage", lambda families, cut: checked.append(cut) or check(families, cut))
