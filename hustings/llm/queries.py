@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from . import class_lm, decontaminate, language, mixing, quality, set_join, sharding, site_lines, token_files, vector_search
+from . import (
+    class_lm,
+    decontaminate,
+    language,
+    mixing,
+    periodic_runs,
+    quality,
+    set_join,
+    sharding,
+    site_lines,
+    token_files,
+    vector_search,
+)
 from .common import documents, table
 
 
@@ -46,6 +58,10 @@ def op10_set_join(spark, sf_dir):
     return set_join.digest(documents(spark, sf_dir))
 
 
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.digest(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -59,6 +75,7 @@ QUERIES = {
         op8_site_lines,
         op9_language,
         op10_set_join,
+        op13_periodic_runs,
     )
 }
 ORACLES = {

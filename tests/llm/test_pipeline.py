@@ -37,7 +37,7 @@ def test_run_repeats(spark, sf_dir):
 def test_registered():
     names = set(entry.queries())
     assert {"pipeline", *queries.QUERIES} <= names
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", list(queries.ORACLES))
