@@ -5,7 +5,9 @@ from __future__ import annotations
 from . import (
     class_lm,
     decontaminate,
+    html_templates,
     language,
+    merkle,
     mixing,
     periodic_runs,
     quality,
@@ -58,6 +60,14 @@ def op10_set_join(spark, sf_dir):
     return set_join.digest(documents(spark, sf_dir))
 
 
+def op11_html_extraction(spark, sf_dir):
+    return html_templates.digest(table(spark, sf_dir, "pages"))
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.digest(documents(spark, sf_dir))
+
+
 def op13_periodic_runs(spark, sf_dir):
     return periodic_runs.digest(documents(spark, sf_dir))
 
@@ -75,6 +85,8 @@ QUERIES = {
         op8_site_lines,
         op9_language,
         op10_set_join,
+        op11_html_extraction,
+        op12_merkle_manifest,
         op13_periodic_runs,
     )
 }
@@ -82,4 +94,6 @@ ORACLES = {
     "op2_decontamination": decontaminate.ORACLE,
     "op3_top_k": vector_search.ORACLE,
     "op8_site_lines": site_lines.ORACLE,
+    "op11_html_extraction": html_templates.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
