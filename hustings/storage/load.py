@@ -138,7 +138,7 @@ def _store(lake, spec, normalized, held, record, result, manifest, fail_on_error
     record.validation_issues = [
         {k: str(v) for k, v in issue.items() if v is not None} for issue in issues
     ]
-    before = last_success(manifest.records(), spec.id).first()
+    before = last_success(manifest.newest(), spec.id).first()
     dropped = received.count() - count
     if dropped:
         record.notes.append(f"{dropped} rows repeated the natural key of a newer row and were dropped")
@@ -166,14 +166,8 @@ def rebuild_race_summary(lake: Lake) -> quality.ValidationReport:
 
 def validate_store(lake: Lake, *, fail_on_warning: bool = False) -> tuple[DataFrame, bool]:
     """All rules over every stored table and dataset: the issues, and whether the
-    store passes."""
-    parts = []
-    for name in lake.tables():
-        table = lake.read_table(name)
-        ids = [r.dataset_id for r in table.select("dataset_id").distinct().collect()]
-        for dataset in sorted(ids):
-            rows = table.where(F.col("dataset_id") == dataset)
-            parts.append(quality.validate(rows, name, dataset=dataset))
+    store passes. One pass per table, by dataset, however many datasets it holds."""
+    parts = [quality.validate(lake.read_table(name), name, per="dataset_id") for name in lake.tables()]
     if not parts:
         raise DatasetUnavailableError("the store holds no tables")
     issues = parts[0]
