@@ -51,24 +51,39 @@ def _leader(party: str | None = None) -> Column:
     return F.min(line if party is None else F.when(F.col("party") == party, line))
 
 
+def _stored_lines(results: DataFrame) -> DataFrame:
+    """The ballot lines of candidates, equal ones with their number: one pass over the results,
+    which combines before its shuffle. Everything about a race is read from these."""
+    lines = candidate_lines(results)
+    have = set(lines.columns)
+    return materialize(
+        lines.groupBy(*RACE_KEY, "candidate", "party", "votes").agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.max(c).alias(c) for c in ("total_votes", *_PER_RACE_NEWEST) if c in have],
+            # Constant within a race; min keeps the result independent of row order.
+            *[F.min(c).alias(c) for c in ("election_date", *_PER_RACE_CONSTANTS) if c in have],
+        ),
+        "ballot-lines",
+    )
+
+
 def race_summary(results: DataFrame) -> DataFrame:
     """One row per race: party totals, leaders, shares, winner and margin.
 
-    Two reads of the lines. The first adds them up per candidate, then per race;
-    both steps combine before their shuffle, and the number of candidates is the
-    number of first-step groups, so no distinct aggregate is needed. The second,
-    for the runner-up's votes, needs a rank, which is cut to two rows per race
+    The results are read once, now; their lines are stored. Totals are added up per
+    candidate, then per race, both combined before their shuffle, and the number of
+    candidates is the number of first-step groups, so no distinct aggregate is needed. The
+    runner-up's votes need a rank, which is cut to two rows per race
     before its shuffle. A race with very many lines is harmless in each of them.
     """
-    lines = candidate_lines(results)
+    lines = _stored_lines(results)
+    have = set(lines.columns)
 
     def votes_of(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("votes"))), F.lit(0.0))
+        return F.coalesce(F.sum(F.when(condition, F.col("votes") * F.col("n"))), F.lit(0.0))
 
     party = F.col("party")
-    have = set(lines.columns)
     newest_of = [c for c in ("total_votes", *_PER_RACE_NEWEST) if c in have]
-    # Constant within a race; min keeps the result independent of row order.
     constant = [c for c in ("election_date", *_PER_RACE_CONSTANTS) if c in have]
     per_candidate = lines.groupBy(*RACE_KEY, "candidate").agg(
         votes_of(party == "DEM").alias("dem_votes"),
@@ -88,14 +103,13 @@ def race_summary(results: DataFrame) -> DataFrame:
     )
 
     order = [F.desc("votes"), F.asc("candidate"), F.asc("party")]
-    runner_up = (
-        top_per_key(
-            lines.select(*RACE_KEY, "votes", "candidate", "party"),
-            RACE_KEY, order, 2, tie_break=False, rank_col="place",
-        )
-        .where(F.col("place") == 2)
-        .select(*RACE_KEY, F.col("votes").alias("_second_votes"))
-    )
+    best_two = top_per_key(
+        lines.select(*RACE_KEY, "votes", "candidate", "party", "n"),
+        RACE_KEY, order, 2, tie_break=False, rank_col="place",
+    )
+    # A first line that stands there twice is its own runner-up.
+    at = F.when((F.col("place") == 1) & (F.col("n") == 1), None).otherwise(F.col("votes"))
+    runner_up = best_two.groupBy(*RACE_KEY).agg(F.max(at).alias("_second_votes"))
     ranked = null_safe_join(totals, runner_up, RACE_KEY)
     races = derived_metrics(ranked)
     lead = (F.lit(0.0) - F.col("_first.v")) - F.coalesce("_second_votes", F.lit(0.0))

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def newest(*names: str) -> list[Column]:
     """Descending order in which NULL counts as the oldest value."""
@@ -103,8 +105,8 @@ def asof_join(
     forward; the answer then joins back on (key, instant). ``right`` holds one
     row per (key, ``right_time``). With many instants per key pass ``bucket``,
     a non-decreasing function of the instant column ``t``: timelines are then cut
-    into buckets that are swept in parallel, and only one row per bucket takes
-    part in carrying values across buckets.
+    into buckets that are swept in parallel and stored, now, and only one row per bucket, its
+    end, takes part in carrying values across buckets.
     """
     by = list(by)
     payload = [c for c in right.columns if c not in by]
@@ -127,19 +129,15 @@ def asof_join(
         timeline = timeline.withColumn("_bucket", bucket)
         span.append("_bucket")
     sweep = W.partitionBy(*span).orderBy("t", "side").rowsBetween(W.unboundedPreceding, 0)
-    found = (
-        timeline.withColumn("found", F.last("fact", ignorenulls=True).over(sweep))
-        .where(F.col("side") == left_side)
-        .drop("side", "fact")
-    )
+    swept = timeline.withColumn("found", F.last("fact", ignorenulls=True).over(sweep)).drop("fact")
+    if bucket is not None:
+        # Stored once: the instants' answers and the buckets' ends are both read from it.
+        swept = materialize(swept, "timeline")
+    found = swept.where(F.col("side") == left_side).drop("side")
     if bucket is not None:
         across = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-        carried = (
-            timeline.groupBy(*span)
-            .agg(F.max_by("fact", F.when(F.col("fact").isNotNull(), F.col("t"))).alias("last"))
-            .withColumn("carried", F.last("last", ignorenulls=True).over(across))
-            .drop("last")
-        )
+        ends = swept.groupBy(*span).agg(F.max_by("found", F.struct("t", "side")).alias("last"))
+        carried = ends.withColumn("carried", F.last("last", ignorenulls=True).over(across)).drop("last")
         found = found.join(carried, span, "left").withColumn(
             "found", F.coalesce("found", "carried")
         )
