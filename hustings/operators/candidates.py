@@ -88,6 +88,7 @@ _MONEY = {
     "cash_on_hand": "cash_on_hand_end",
     "individual_contributions": "individual_contributions",
 }
+MONEY = tuple(_MONEY.values())
 
 
 def finance_features(finance: DataFrame, year: int, office: str, as_of: AsOf) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -109,12 +111,9 @@ INDUSTRY_SHARE_CODES = {
 }
 
 
-def industry_shares(industry: DataFrame, as_of: AsOf | None) -> DataFrame:
-    """Employment shares by industry in the newest public year (one year for
-    all states); states without a total for that year are left out."""
-    available = filter_as_of(industry, as_of)
-    newest_year = available.agg(F.max("year")).scalar()
-    rows = available.where(F.col("year") == newest_year)
+def industry_by_year(industry: DataFrame, also: Sequence[Column] = ()) -> DataFrame:
+    """Per state and year the employment totals and each industry's employment, with
+    further aggregates (``also``) from the same pass."""
     code, owner = F.col("industry_code"), F.col("own_code")
     is_total = (code == "10") & (owner == "0")
 
@@ -124,8 +123,7 @@ def industry_shares(industry: DataFrame, as_of: AsOf | None) -> DataFrame:
     def employment(condition: Column) -> Column:
         return F.sum(F.when(condition, F.col("annual_avg_employment")))
 
-    wide = rows.groupBy("state").agg(
-        F.max("year").alias("industry_year"),
+    return industry.groupBy("state", F.col("year").alias("industry_year")).agg(
         F.count_if(is_total).alias("_totals"),
         of_total("annual_avg_employment").alias("total_employment"),
         of_total("annual_avg_weekly_wage").alias("average_weekly_wage"),
@@ -135,15 +133,27 @@ def industry_shares(industry: DataFrame, as_of: AsOf | None) -> DataFrame:
             for industry_code, name in INDUSTRY_SHARE_CODES.items()
         ],
         employment((code == "10") & owner.isin("1", "2", "3")).alias("pct_government"),
+        *also,
     )
+
+
+def shares_of_newest_year(by_year: DataFrame) -> DataFrame:
+    """Employment shares in the newest year of any state; states without a total for it are left out."""
+    newest_year = by_year.agg(F.max("industry_year")).scalar()
     names = [*INDUSTRY_SHARE_CODES.values(), "pct_government"]
     return (
-        wide.where(F.col("_totals") > 0)
+        by_year.where((F.col("industry_year") == newest_year) & (F.col("_totals") > 0))
         .withColumns({name: ratio(name, "total_employment") for name in names})
         .drop("_totals")
     )
 
 
+def industry_shares(industry: DataFrame, as_of: AsOf | None) -> DataFrame:
+    """Employment shares by industry in the newest public year (one year for
+    all states); states without a total for that year are left out."""
+    return shares_of_newest_year(industry_by_year(filter_as_of(industry, as_of)))
+
+
 # The measures of the state accounts.
 STATE_MEASURES = (
     "real_gdp", "nominal_gdp", "personal_income", "population", "per_capita_personal_income",

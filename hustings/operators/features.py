@@ -6,8 +6,9 @@ from __future__ import annotations
 import datetime as dt
 from collections import Counter
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import cached_property, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,17 +16,22 @@ from pyspark.sql import functions as F
 from ..errors import DatasetUnavailableError, PointInTimeError
 from ..functions import geo
 from ..functions.dates import cutoff, election_day
+from ..session import materialize
 from . import candidates as C
 from . import demographics as D
 from . import economics as E
 from . import elections as L
 from . import polls as P
+from . import slices as S
 from . import turnout as T
 from .pit import AsOf, filter_as_of, latest_as_of
 from .relational import attach_scalars, newest, top_per_key
 
 OFFICES = ("president", "senate", "house")
 
+# Jobs of different families at a time: they are independent, and most are small.
+JOBS_AT_A_TIME = 8
+
 # The outcome columns attached as labels.
 TARGET_COLUMNS = (
     "dem_votes rep_votes other_votes total_votes total_candidate_votes dem_vote_share "
@@ -62,18 +68,14 @@ NAEP_CELLS = [("mathematics", 4), ("mathematics", 8), ("reading", 4), ("reading"
 
 @dataclass
 class FeatureBuild:
-    """A lazy modelling table with the lazy provenance of its families."""
+    """A lazy modelling table with the stored provenance of its families."""
 
     frame: DataFrame
     year: int
     office: str
     as_of: dt.date
     election_date: dt.date
-    _rows: Mapping[str, DataFrame | None]
-
-    @cached_property
-    def families(self) -> DataFrame:
-        return families_provenance(self._rows, self.frame.sparkSession)
+    families: DataFrame
 
     def missingness(self) -> DataFrame:
         return missingness(self.frame)
@@ -221,63 +223,18 @@ def usable_finance(finance: DataFrame, year: int, as_of: AsOf) -> DataFrame:
 # ------------------------------------------------------------------ provenance
 
 
-def family_provenance(family: str, rows: DataFrame | None, spark, note: str = "") -> DataFrame:
-    """One row: rows, datasets, runs, last publication day, and share of
-    estimated publication days."""
-    if rows is None:
-        return spark.range(1).select(
-            F.lit(family).alias("family"),
-            F.lit(0).cast("bigint").alias("rows"),
-            F.array().cast("array<string>").alias("datasets"),
-            F.array().cast("array<string>").alias("ingestion_runs"),
-            F.lit(None).cast("date").alias("max_publication_date"),
-            F.lit(None).cast("double").alias("publication_date_estimated_share"),
-            F.lit(note).alias("note"),
-        )
-
-    def absent(kind: str) -> Column:
-        return F.lit(None).cast(kind)
-
-    have = rows.columns
-    estimated = F.avg(F.coalesce("publication_date_estimated", F.lit(False)).cast("int"))
-    facts = rows.agg(
-        F.count(F.lit(1)).alias("rows"),
-        # Dataset ids come from the registry: a set of a few dozen at most.
-        (
-            F.array_sort(F.collect_set("dataset_id"))
-            if "dataset_id" in have
-            else F.array().cast("array<string>")
-        ).alias("datasets"),
-        (F.max("publication_date") if "publication_date" in have else absent("date")).alias(
-            "max_publication_date"
-        ),
-        (
-            F.round(estimated, 3) if "publication_date_estimated" in have else absent("double")
-        ).alias("publication_date_estimated_share"),
-    )
-    runs: Column = F.array().cast("array<string>")
-    if "ingestion_run_id" in have:
-        # One id per load of a dataset: few, however many rows a load has.
-        first = rows.select("ingestion_run_id").where(F.col("ingestion_run_id").isNotNull()).distinct()
-        runs = first.agg(F.array_sort(F.collect_list("ingestion_run_id"))).scalar()
-    return facts.select(
-        F.lit(family).alias("family"),
-        "rows",
-        "datasets",
-        runs.alias("ingestion_runs"),
-        F.col("max_publication_date").cast("date").alias("max_publication_date"),
-        "publication_date_estimated_share",
-        F.lit(note).alias("note"),
-    )
+_NOTES = {"targets": "labels, not filtered by as_of"}
 
 
 def families_provenance(rows: Mapping[str, DataFrame | None], spark) -> DataFrame:
-    """Provenance of every family, one row each, as one plan."""
-    notes = {"targets": "labels, not filtered by as_of"}
-    return reduce(
-        DataFrame.unionByName,
-        [family_provenance(name, df, spark, notes.get(name, "")) for name, df in rows.items()],
-    )
+    """Provenance of every family, one row each: rows, datasets, runs, last publication day, and share
+    of estimated publication days. One plan, one pass over the rows of each family."""
+    facts = {name: None if df is None else S.facts_of(df) for name, df in rows.items()}
+    return S.provenance(facts, _NOTES, spark)
+
+
+def family_provenance(family: str, rows: DataFrame | None, spark) -> DataFrame:
+    return families_provenance({family: rows}, spark)
 
 
 def audit_families(families: DataFrame, as_of: AsOf, year: int) -> DataFrame:
@@ -366,10 +323,11 @@ def build_features(
     """The modelling table for ``office`` races of ``year`` as of a date (the day
     before the election unless given).
 
-    Every family is reduced to one row per race or state before it is joined, so
-    the joins are between small frames and the optimizer broadcasts whichever side
-    it has measured to be small. Labels are attached unfiltered. ``strict``
-    runs the leakage audit now and raises on a violation. Pass the stored
+    Each table is passed over once: the pass leaves the rows that its features choose
+    from and the facts of its provenance, which are stored (:mod:`slices`). The features of each family,
+    one row per race or state, are made of these and stored as well, several families at a
+    time. The frame is a plan that joins these small tables. Labels are attached unfiltered.
+    ``strict`` runs the leakage audit now and raises on a violation. Pass the stored
     ``summary`` of all races where there is one; else it is computed and kept in
     the scratch folder.
     """
@@ -379,12 +337,36 @@ def build_features(
     day = election_day(year)
     cut = cutoff(as_of) if as_of is not None else day - dt.timedelta(days=1)
     key = C.race_key(office)
-    if summary is None:
-        summary = _race_summaries(tables)
-    spark = summary.sparkSession
-    get = tables.get
+    with ThreadPoolExecutor(JOBS_AT_A_TIME) as pool:
+        # First what needs one table each, then what needs several of those.
+        races_of = pool.submit(lambda: _race_summaries(tables) if summary is None else summary)
+        passes = {
+            name: pool.submit(_pass, name, tables[name], year, office, cut, day) for name in S.PASSES if name in tables
+        }
+        summary = races_of.result()
+        done = {name: p.result() for name, p in passes.items()}
+        slices = {name: taken for name, (taken, _) in done.items()}
+
+        def rows(name: str) -> DataFrame | None:
+            return slices[name].rows if name in slices else None
+
+        people = rows("population")
+        joint = {}
+        if (table := rows("turnout")) is not None:
+            joint["turnout"] = turnout_before(table, people, year, cut)
+        if people is not None:
+            joint["population"] = D.population_as_of(people, cut)
+            if (land := rows("geography")) is not None:
+                joint["population"] = D.density_features(joint["population"], land, cut)
+        target = L.regular_races(summary, office).where(F.col("year") == year)
+        races = materialize(race_universe(office, year, summary, rows("candidates"), cut), "races")
+        joint["history"] = history_before(summary, races, year, office, cut)
+        joint["families"] = _build_provenance(slices, target, summary, year, cut)
+        stored = {name: pool.submit(materialize, df, f"features-{name}") for name, df in joint.items()}
+        parts = {name: part for name, (_, part) in done.items() if part is not None}
+        parts |= {name: p.result() for name, p in stored.items()}
 
-    races = race_universe(office, year, summary, get("candidates"), cut)
+    spark = summary.sparkSession
     if states:
         races = races.where(F.col("state").isin(*[s.upper() for s in states]))
     fips = geo.state_lookup(spark).where(F.length("state_token") == 2).where(
@@ -399,62 +381,61 @@ def build_features(
         F.lit(day).alias("election_date"),
         F.lit(cut).alias("as_of"),
     )
-
-    target = L.regular_races(summary, office).where(F.col("year") == year)
+    if "state_economy" in parts and "population" in parts:
+        # Both sources have a population; the estimate keeps the plain name.
+        parts["state_economy"] = parts["state_economy"].withColumnRenamed("population", "state_economy_population")
+    for name in _PER_STATE:
+        if name in parts:
+            frame = frame.join(parts[name], "state", "left")
     labels = target.select(*key, *[c for c in TARGET_COLUMNS if c in target.columns])
-    per_race = [labels]
-    per_state: list[DataFrame] = []
-    scalars: list[DataFrame] = []
-
-    if (table := get("turnout")) is not None:
-        per_state.append(turnout_before(table, get("population"), year, cut))
-    if (table := get("demographics")) is not None:
-        per_state.append(D.demographics_as_of(table, cut))
-    if (table := get("population")) is not None:
-        people = D.population_as_of(table, cut)
-        land = get("geography")
-        per_state.append(people if land is None else D.density_features(people, land, cut))
-    if (table := get("urban_rural")) is not None:
-        per_state.append(D.urban_features(table, cut))
-    if (table := get("labor")) is not None:
-        per_state.append(E.unemployment_features(table, cut))
-    if (table := get("industry")) is not None:
-        per_state.append(E.industry_shares(table, cut))
-    if (table := get("state_economy")) is not None:
-        economy = E.state_economy_features(table, cut)
-        if get("population") is not None:
-            # Both sources have a population; the estimate keeps the plain name.
-            economy = economy.withColumnRenamed("population", "state_economy_population")
-        per_state.append(economy)
-    if (table := get("national_economy")) is not None:
-        scalars.append(E.national_features(table, cut))
-    if (table := get("candidates")) is not None:
-        per_race.append(C.incumbency_features(table, year, office, cut))
-    if (table := get("candidate_finance")) is not None:
-        per_race.append(C.finance_features(table, year, office, cut))
-    if (table := get("polls")) is not None:
-        per_race.append(P.race_poll_features(table, year, office, cut, day))
-    if (table := get("approval_polls")) is not None:
-        scalars.append(P.approval_features(table, cut))
-    if (table := get("generic_ballot_polls")) is not None:
-        scalars.append(P.generic_ballot_features(table, cut))
-    if (table := get("special_elections")) is not None:
-        scalars.append(P.special_election_swing(table, cut))
-    if (table := get("naep")) is not None:
-        per_state.append(naep_wide(table, cut))
-    if (table := get("religion")) is not None:
-        per_state.append(religion_latest(table, cut))
-
-    for part in per_state:
-        frame = frame.join(part, "state", "left")
-    for part in per_race:
+    for part in (labels, *[parts[name] for name in _PER_RACE if name in parts]):
         frame = frame.join(part, key, "left")
-    frame = attach_scalars(frame, *scalars)
-    # The history has by far the deepest plan: joined last, it is analyzed once.
-    frame = frame.join(history_before(summary, races, year, office, cut), key, "left")
-
-    rows = family_rows(tables, summary, year, office, cut)
-    build = FeatureBuild(frame, year, office, cut, day, rows)
+    frame = attach_scalars(frame, *[parts[name] for name in _ONE_ROW if name in parts])
+    frame = frame.join(parts["history"], key, "left")
     if strict:
-        verify_no_leakage(build.families, cut)
-    return build
+        verify_no_leakage(parts["families"], cut)
+    return FeatureBuild(frame, year, office, cut, day, parts["families"])
+
+
+# In the order of their columns in the frame.
+_PER_STATE = (
+    "turnout", "demographics", "population", "urban_rural", "labor", "industry", "state_economy", "naep", "religion",
+)
+_PER_RACE = ("candidates", "candidate_finance", "polls")
+_ONE_ROW = ("national_economy", "approval_polls", "generic_ballot_polls", "special_elections")
+
+
+def _pass(
+    name: str, table: DataFrame, year: int, office: str, cut: dt.date, day: dt.date
+) -> tuple[S.Slice, DataFrame | None]:
+    """The pass over one table, and its features where they need no other table; both are stored."""
+    of_rows = {
+        "demographics": lambda rows: D.demographics_as_of(rows, cut),
+        "urban_rural": lambda rows: D.urban_features(rows, cut),
+        "labor": lambda rows: E.unemployment_features(rows, cut),
+        "industry": E.shares_of_newest_year,
+        "state_economy": lambda rows: E.state_economy_features(rows, cut),
+        "national_economy": lambda rows: E.national_features(rows, cut),
+        "candidates": lambda rows: C.incumbency_features(rows, year, office, cut),
+        "candidate_finance": lambda rows: C.finance_features(rows, year, office, cut),
+        "polls": lambda rows: P.race_poll_features(rows, year, office, cut, day),
+        "approval_polls": lambda rows: P.approval_features(rows, cut),
+        "generic_ballot_polls": lambda rows: P.generic_ballot_features(rows, cut),
+        "special_elections": lambda rows: P.special_election_swing(rows, cut),
+        "naep": lambda rows: naep_wide(rows, cut),
+        "religion": lambda rows: religion_latest(rows, cut),
+    }
+    taken = S.take(name, table, year, office, cut)
+    if name not in of_rows:
+        return taken, None
+    return taken, materialize(of_rows[name](taken.rows), f"features-{name}")
+
+
+def _build_provenance(
+    slices: Mapping[str, S.Slice], target: DataFrame, summary: DataFrame, year: int, cut: dt.date
+) -> DataFrame:
+    """Provenance of the families from the facts that the passes left."""
+    earlier = filter_as_of(summary, cut).where(F.col("year") < year)
+    facts = {family: slices[table].facts if table in slices else None for family, table in FAMILIES.items()}
+    facts |= {"targets": S.facts_of(target), "political_history": S.facts_of(earlier)}
+    return S.provenance(facts, _NOTES, summary.sparkSession)

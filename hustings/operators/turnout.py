@@ -12,6 +12,13 @@ from ..functions.scalars import ratio, to_double
 from .relational import newest, top_per_key
 
 
+# The counts that turnout rates are made of.
+TURNOUT_COLUMNS = (
+    "registered_voters", "ballots_cast", "mail_votes", "early_votes", "voting_age_population",
+    "citizen_voting_age_population",
+)
+
+
 def newest_vintage_per_year(
     population: DataFrame, columns: Sequence[str] | None = None
 ) -> DataFrame:

@@ -403,10 +403,13 @@ from (
     {change('core', 12)} as core_cpi_yoy, {level('pay')} as nonfarm_payrolls,
     {change('pay', 1)} as payroll_growth_1m, {change('pay', 3)} as payroll_growth_3m,
     {change('pay', 12)} as payroll_growth_12m, {change('ahe', 12)} as wage_growth_12m) x""",
+    "incumbency_president": incumbency("president", "state"),
     "incumbency_senate": incumbency("senate", "state"),
     "incumbency_house": incumbency("house", "state, district"),
+    "finance_president": finance("president", "state"),
     "finance_senate": finance("senate", "state"),
     "finance_house": finance("house", "state, district"),
+    "race_polls_president": race_polls("president", "state"),
     "race_polls_senate": race_polls("senate", "state"),
     "race_polls_house": race_polls("house", "state, district"),
     "approval": "select {}, approval_average_30d - prev as approval_change_30d, n_approval_polls_30d from (select {}, {} as prev, count(*) filter (where {}) as n_approval_polls_30d from approval_polls where publication_date <= {}) x".format(
