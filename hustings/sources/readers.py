@@ -105,12 +105,11 @@ def read_pipe_file(spark: SparkSession, path: str, layout: Sequence[str]) -> Dat
 
 def read_manual_csvs(spark: SparkSession, directory: str) -> DataFrame:
     """Union by name of hand-placed CSV files, whose headers may differ: one scan per
-    different header. Only file names and headers come to the driver."""
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(directory)
-    first = lines.select(
-        F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"), "value"
-    )
-    headers = first.groupBy("path").agg(F.min_by("value", "at").alias("header")).collect()
+    different header. Only file names and headers come to the driver; of each file
+    no more than its beginning is read for that, however long it is."""
+    paths = sorted(spark.read.option("pathGlobFilter", "*.csv").text(directory).inputFiles())
+    first = [spark.read.text(p).limit(1).select(F.lit(p).alias("path"), F.col("value").alias("header")) for p in paths]
+    headers = reduce(DataFrame.unionByName, first).collect() if first else []
     if not headers:
         raise ParserError(f"no CSV files in {directory}")
     alike: dict[str, list[str]] = {}

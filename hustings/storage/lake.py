@@ -16,6 +16,9 @@ from ..operators.features import TARGET_COLUMNS
 from ..schema import TABLES, TableSpec, enforce_schema, table_spec
 
 
+_COMMITS = "_commits"
+
+
 def equality_filters(df: DataFrame, filters: Mapping[str, Any] | None, *, lenient: bool) -> DataFrame:
     """``column = value`` / ``column IN values``; None is no condition, an empty
     list matches nothing. ``lenient`` skips columns the frame does not have."""
@@ -47,35 +50,65 @@ class Lake:
     def manifest_path(self) -> str:
         return f"{self.root}/manifests/ingestion_runs"
 
+    def _files(self, path: str):
+        """The Hadoop path and the store that it lies in."""
+        location = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return location, location.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        location = jvm.org.apache.hadoop.fs.Path(path)
-        system = location.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        location, system = self._files(path)
         return system.exists(location)
 
+    def children(self, path: str) -> list[str]:
+        """Names below a folder; none where there is no such folder."""
+        location, system = self._files(path)
+        return sorted(s.getPath().getName() for s in system.listStatus(location)) if system.exists(location) else []
+
+    def delete(self, path: str) -> None:
+        location, system = self._files(path)
+        system.delete(location, True)
+
     def tables(self) -> list[str]:
         return [name for name in TABLES if self.exists(self.table_path(name))]
 
     # ----------------------------------------------------------------- writing
 
     def write_parquet(self, df: DataFrame, path: str) -> str:
-        """Whole-folder write into a new folder that takes the old one's place only
-        once it is complete: a failed job leaves the old data as they were."""
-        fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-        df.write.option("compression", "zstd").parquet(fresh)
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
-        system = hadoop(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        replaced = system.exists(hadoop(path))
-        if replaced:
-            system.rename(hadoop(path), hadoop(old))
-        if not system.rename(hadoop(fresh), hadoop(path)):
-            if replaced:
-                system.rename(hadoop(old), hadoop(path))
-            raise OSError(f"{fresh} could not take the place of {path}")
-        if replaced:
-            system.delete(hadoop(old), True)
+        """Replace a whole folder: the data go into a new version below ``path``, and an
+        empty file whose name says which version is current is created once they are complete.
+
+        Nothing is renamed, so it works alike on object stores. A reader sees the version
+        before or the one after, and a failed job leaves no file and so the old data as they were. The
+        version before is kept for readers that still have it open. Read it with :meth:`read_parquet`.
+        """
+        known = self.children(path)
+        commits = self._commits(path)
+        version = f"{int(commits[-1].split('-')[0]) + 1 if commits else 1:012d}-{uuid.uuid4().hex}"
+        try:
+            df.write.option("compression", "zstd").parquet(f"{path}/data-{version}")
+        except Exception:
+            self.delete(f"{path}/data-{version}")
+            raise
+        location, system = self._files(f"{path}/{_COMMITS}/{version}")
+        system.create(location, False).close()
+        kept = {f"data-{v}" for v in self._commits(path)[-2:]}
+        committed = {f"data-{v}" for v in commits}
+        for name in known:
+            # Versions before the last; files of a folder that was written without versions.
+            if name != _COMMITS and name not in kept and (name in committed or not name.startswith("data-")):
+                self.delete(f"{path}/{name}")
+        for old in commits[:-1]:
+            self.delete(f"{path}/{_COMMITS}/{old}")
         return path
 
+    def _commits(self, path: str) -> list[str]:
+        return self.children(f"{path}/{_COMMITS}")
+
+    def current_version(self, path: str) -> str:
+        """Where the data of a folder are now: its newest version, or itself if it has none."""
+        commits = self._commits(path)
+        return f"{path}/data-{commits[-1]}" if commits else path
+
     def write_processed(self, df: DataFrame, table: str, dataset_id: str) -> str:
         """Replace exactly this dataset's rows (of this retrieval day, for snapshot
         tables) and leave every other partition alone."""
@@ -131,7 +164,8 @@ class Lake:
     # ----------------------------------------------------------------- reading
 
     def read_parquet(self, path: str) -> DataFrame:
-        return self.spark.read.parquet(path)
+        """A Parquet folder, in its newest version where it has versions."""
+        return self.spark.read.parquet(self.current_version(path))
 
     def load_features(self, path: str) -> DataFrame:
         return self.read_parquet(path)

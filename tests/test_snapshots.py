@@ -82,9 +82,67 @@ def test_score_columns_have_names_of_their_own(spark):
 def test_registered_builds_check_leakage(spark, sf_dir, monkeypatch):
     checked, check = [], X.verify_no_leakage
     monkeypatch.setattr(X, "verify_no_leakage", lambda families, cut: checked.append(cut) or check(families, cut))
-    for office in ("senate", "house"):
+    for office in X.OFFICES:
         QUERIES[f"fea01_build_features_{office}"].run(spark, sf_dir)
-    assert checked == [D(2000, 10, 20)] * 2
+    assert checked == [D(2000, 10, 20)] * 3
+
+
+def test_build_reads_each_table_once(spark, sf_dir, monkeypatch):
+    """The frame is a plan over stored passes; each pass has its table once."""
+    from hustings.operators import slices as S
+    from hustings.plans import core
+    from hustings.plans.registry import Tables
+
+    passes, store = [], S.materialize
+
+    def watched(df, purpose):
+        passes.append((purpose, df._jdf.queryExecution().optimizedPlan().toString()))
+        return store(df, purpose)
+
+    monkeypatch.setattr(S, "materialize", watched)
+    tables = Tables(spark, sf_dir).many(core.FEATURE_TABLES)
+    once = {}
+    for name, df in tables.items():
+        path = f"{spark.conf.get('spark.sql.warehouse.dir')}/once/{name}"
+        df.limit(50).write.mode("overwrite").parquet(path)
+        once[name] = spark.read.parquet(path)
+    build = X.build_features(once, core.YEAR, "senate", core.AS_OF)
+    assert len(passes) == len(S.PASSES) and all(p.count("] parquet") == 1 for _, p in passes)
+    assert not any("/once/" in f for f in build.frame.inputFiles())
+    assert not any("/once/" in f for f in build.families.inputFiles())
+
+
+def test_slices_give_the_features_of_whole_tables(spark, sf_dir):
+    from hustings.operators import candidates as C, demographics as DM, polls as P, slices as S
+    from hustings.plans import core
+    from hustings.plans.registry import Tables
+
+    cut = D(2000, 10, 20)
+    tables = Tables(spark, sf_dir).many(core.FEATURE_TABLES)
+    cuts = {name: S.take(name, tables[name], 2000, "senate", cut) for name in S.PASSES}
+    pairs = {
+        "labor": lambda t: E.unemployment_features(t, cut),
+        "national_economy": lambda t: E.national_features(t, cut),
+        "state_economy": lambda t: E.state_economy_features(t, cut),
+        "population": lambda t: DM.population_as_of(t, cut),
+        "demographics": lambda t: DM.demographics_as_of(t, cut),
+        "candidates": lambda t: C.incumbency_features(t, 2000, "senate", cut),
+        "candidate_finance": lambda t: C.finance_features(t, 2000, "senate", cut),
+        "polls": lambda t: P.race_poll_features(t, 2000, "senate", cut),
+        "approval_polls": lambda t: P.approval_features(t, cut),
+        "generic_ballot_polls": lambda t: P.generic_ballot_features(t, cut),
+        "special_elections": lambda t: P.special_election_swing(t, cut),
+        "naep": lambda t: X.naep_wide(t, cut),
+    }
+    for name, features in pairs.items():
+        text = lambda df: sorted(repr([round(v, 9) if isinstance(v, float) else v for v in r]) for r in df.collect())
+        whole, cut_rows = features(tables[name]), features(cuts[name].rows)
+        assert whole.columns == cut_rows.columns and text(whole) == text(cut_rows), name
+    # Provenance from the passes is that of the rows themselves.
+    for family in ("labor", "race_polls", "incumbency", "national_economy"):
+        rows = X.family_rows(tables, tables["election_results"].withColumn("special", F.lit(False)), 2000, "senate", cut)[family]
+        want = X.family_provenance(family, rows, spark).first()
+        assert S.provenance({family: cuts[X.FAMILIES[family]].facts}, {}, spark).first() == want
 
 
 def test_every_measure(spark):
@@ -125,20 +183,62 @@ def test_file_years_and_headers(spark, tmp_path):
 def test_folder_stays_when_a_write_fails(spark, tmp_path):
     from hustings import Lake
 
-    lake = Lake(spark, str(tmp_path))
-    lake.write_parquet(spark.range(3), f"{tmp_path}/t")
-    lake.write_parquet(spark.range(5), f"{tmp_path}/t")
-    assert spark.read.parquet(f"{tmp_path}/t").count() == 5
+    lake, path = Lake(spark, str(tmp_path)), f"{tmp_path}/t"
+    rows = lambda: lake.read_parquet(path).count()
+    spark.range(2).write.parquet(path)  # without versions
+    assert rows() == 2
+    lake.write_parquet(spark.range(3), path)
+    before = lake.read_parquet(path)
+    assert before.count() == 3
+    lake.write_parquet(spark.range(5), path)
+    # A reader that opened the version before still has its files; new readers see the new one.
+    assert before.count() == 3 and rows() == 5
     with pytest.raises(Exception):
-        lake.write_parquet(spark.range(9).select(F.raise_error(F.lit("no"))), f"{tmp_path}/t")
-    assert spark.read.parquet(f"{tmp_path}/t").count() == 5
+        lake.write_parquet(spark.range(9).select(F.raise_error(F.lit("no"))), path)
+    assert rows() == 5
+    # Data without a commit is no version.
+    spark.range(7).write.parquet(f"{path}/data-000000000099-x")
+    assert rows() == 5
+    lake.write_parquet(spark.range(6), path)
+    lake.write_parquet(spark.range(8), path)
+    assert rows() == 8
+    names = [n for n in lake.children(path) if n != "data-000000000099-x"]
+    assert len([n for n in names if n.startswith("data-")]) == 2 and len(names) == 3
+    assert len(lake.children(f"{path}/_commits")) == 2
+
+
+def test_readers_see_the_old_or_the_new_folder(spark, tmp_path):
+    """Reads between all steps of a replacement give either the old rows or the new ones."""
+    from hustings import Lake
+
+    class Watched(Lake):
+        seen: list[int] = []
+
+        def _files(self, path):
+            if "_commits" in path and self.exists_plain(f"{tmp_path}/t"):
+                self.seen.append(Lake(spark, str(tmp_path)).read_parquet(f"{tmp_path}/t").count())
+            return super()._files(path)
+
+        def exists_plain(self, path):
+            location, system = Lake._files(self, path)
+            return system.exists(location)
+
+    lake = Watched(spark, str(tmp_path))
+    Lake(spark, str(tmp_path)).write_parquet(spark.range(3), f"{tmp_path}/t")
+    lake.write_parquet(spark.range(5), f"{tmp_path}/t")
+    assert set(lake.seen) == {3, 5} and lake.seen == sorted(lake.seen)
 
 
-def test_summary_reads_the_lines_twice(spark, tmp_path):
+def test_summary_reads_the_lines_once(spark, tmp_path):
     path = f"{tmp_path}/lines"
-    spark.createDataFrame(
-        [("PA", "42", 2000, "senate", "statewide", False, "A", "DEM", 5.0)],
-        "state string, state_fips string, year int, office string, district string, special boolean, candidate string, party string, votes double",
-    ).withColumn("total_votes", F.col("votes")).write.parquet(path)
-    plan = L.race_summary(spark.read.parquet(path))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation [") == 2
+    columns = "state string, state_fips string, year int, office string, district string, special boolean, candidate string, party string, votes double"
+    race = ("PA", "42", 2000, "senate", "statewide", False)
+    rows = [(*race, "A", "DEM", 5.0), (*race, "A", "DEM", 5.0), (*race, "B", "REP", 4.0)]
+    rows += [("OH", "39", *race[2:], c, p, v) for c, p, v in (("A", "DEM", 6.0), ("B", "REP", 3.0), ("C", "REP", 2.0))]
+    spark.createDataFrame(rows, columns).withColumn("total_votes", F.col("votes")).write.parquet(path)
+    summary = L.race_summary(spark.read.parquet(path))
+    assert not any(path in f for f in summary.inputFiles())  # the pass over them is done
+    got = {r.state: r for r in summary.collect()}
+    # A line that stands there twice is its own runner-up.
+    assert (got["PA"].dem_votes, got["PA"].n_candidates, got["PA"].winning_margin) == (10.0, 2, 0.0)
+    assert (got["OH"].winner_party, got["OH"].winning_margin) == ("DEM", 3.0 / 11.0)
