@@ -200,10 +200,10 @@ def state_lean(shares: DataFrame, ballots: DataFrame) -> DataFrame:
     )
 
 
-def against_mean(df: DataFrame, state: str, time: str, value: str) -> DataFrame:
-    """One state's series next to the mean of all states."""
+def against_mean(df: DataFrame, state: str, time: str | Sequence[str], value: str) -> DataFrame:
+    """One state's series next to the mean of all states, by time or by time and further columns."""
     return (
-        df.groupBy(time)
+        df.groupBy(*([time] if isinstance(time, str) else time))
         .agg(
             F.max(F.when(F.col("state") == state, F.col(value))).alias("state_value"),
             F.avg(value).alias("all_state_mean"),

@@ -29,8 +29,8 @@ from .relational import attach_scalars, newest, top_per_key
 
 OFFICES = ("president", "senate", "house")
 
-# Jobs of different families at a time: they are independent, and most are small.
-JOBS_AT_A_TIME = 8
+# Passes over different tables at a time: they are independent, and most are small.
+JOBS_AT_A_TIME = 3
 
 # The outcome columns attached as labels.
 TARGET_COLUMNS = (
@@ -324,9 +324,9 @@ def build_features(
     before the election unless given).
 
     Each table is passed over once: the pass leaves the rows that its features choose
-    from and the facts of its provenance, which are stored (:mod:`slices`). The features of each family,
-    one row per race or state, are made of these and stored as well, several families at a
-    time. The frame is a plan that joins these small tables. Labels are attached unfiltered.
+    from and the facts of its provenance, which are stored (:mod:`slices`). The frame is a
+    plan over these small tables and the race summaries; every family is reduced to
+    one row per race or state before it is joined. Labels are attached unfiltered.
     ``strict`` runs the leakage audit now and raises on a violation. Pass the stored
     ``summary`` of all races where there is one; else it is computed and kept in
     the scratch folder.
@@ -338,33 +338,21 @@ def build_features(
     cut = cutoff(as_of) if as_of is not None else day - dt.timedelta(days=1)
     key = C.race_key(office)
     with ThreadPoolExecutor(JOBS_AT_A_TIME) as pool:
-        # First what needs one table each, then what needs several of those.
         races_of = pool.submit(lambda: _race_summaries(tables) if summary is None else summary)
         passes = {
-            name: pool.submit(_pass, name, tables[name], year, office, cut, day) for name in S.PASSES if name in tables
+            name: pool.submit(S.take, name, tables[name], year, office, cut) for name in S.PASSES if name in tables
         }
         summary = races_of.result()
-        done = {name: p.result() for name, p in passes.items()}
-        slices = {name: taken for name, (taken, _) in done.items()}
-
-        def rows(name: str) -> DataFrame | None:
-            return slices[name].rows if name in slices else None
-
-        people = rows("population")
-        joint = {}
-        if (table := rows("turnout")) is not None:
-            joint["turnout"] = turnout_before(table, people, year, cut)
-        if people is not None:
-            joint["population"] = D.population_as_of(people, cut)
-            if (land := rows("geography")) is not None:
-                joint["population"] = D.density_features(joint["population"], land, cut)
-        target = L.regular_races(summary, office).where(F.col("year") == year)
-        races = materialize(race_universe(office, year, summary, rows("candidates"), cut), "races")
-        joint["history"] = history_before(summary, races, year, office, cut)
-        joint["families"] = _build_provenance(slices, target, summary, year, cut)
-        stored = {name: pool.submit(materialize, df, f"features-{name}") for name, df in joint.items()}
-        parts = {name: part for name, (_, part) in done.items() if part is not None}
-        parts |= {name: p.result() for name, p in stored.items()}
+        slices = {name: taken.result() for name, taken in passes.items()}
+    rows = {name: taken.rows for name, taken in slices.items()}
+    target = L.regular_races(summary, office).where(F.col("year") == year)
+    races = materialize(race_universe(office, year, summary, rows.get("candidates"), cut), "races")
+    # The history has by far the deepest plan: it is stored, so the frame's plan stays shallow.
+    history = materialize(history_before(summary, races, year, office, cut), "history")
+    families = materialize(_build_provenance(slices, target, summary, year, cut), "families")
+    if strict:
+        verify_no_leakage(families, cut)
+    parts = _features(rows, year, office, cut, day)
 
     spark = summary.sparkSession
     if states:
@@ -391,10 +379,8 @@ def build_features(
     for part in (labels, *[parts[name] for name in _PER_RACE if name in parts]):
         frame = frame.join(part, key, "left")
     frame = attach_scalars(frame, *[parts[name] for name in _ONE_ROW if name in parts])
-    frame = frame.join(parts["history"], key, "left")
-    if strict:
-        verify_no_leakage(parts["families"], cut)
-    return FeatureBuild(frame, year, office, cut, day, parts["families"])
+    frame = frame.join(history, key, "left")
+    return FeatureBuild(frame, year, office, cut, day, families)
 
 
 # In the order of their columns in the frame.
@@ -405,30 +391,32 @@ _PER_RACE = ("candidates", "candidate_finance", "polls")
 _ONE_ROW = ("national_economy", "approval_polls", "generic_ballot_polls", "special_elections")
 
 
-def _pass(
-    name: str, table: DataFrame, year: int, office: str, cut: dt.date, day: dt.date
-) -> tuple[S.Slice, DataFrame | None]:
-    """The pass over one table, and its features where they need no other table; both are stored."""
+def _features(
+    rows: Mapping[str, DataFrame], year: int, office: str, cut: dt.date, day: dt.date
+) -> dict[str, DataFrame]:
+    """The features of each family at hand, from the rows that the passes left."""
     of_rows = {
-        "demographics": lambda rows: D.demographics_as_of(rows, cut),
-        "urban_rural": lambda rows: D.urban_features(rows, cut),
-        "labor": lambda rows: E.unemployment_features(rows, cut),
+        "turnout": lambda t: turnout_before(t, rows.get("population"), year, cut),
+        "demographics": lambda t: D.demographics_as_of(t, cut),
+        "population": lambda t: D.population_as_of(t, cut),
+        "urban_rural": lambda t: D.urban_features(t, cut),
+        "labor": lambda t: E.unemployment_features(t, cut),
         "industry": E.shares_of_newest_year,
-        "state_economy": lambda rows: E.state_economy_features(rows, cut),
-        "national_economy": lambda rows: E.national_features(rows, cut),
-        "candidates": lambda rows: C.incumbency_features(rows, year, office, cut),
-        "candidate_finance": lambda rows: C.finance_features(rows, year, office, cut),
-        "polls": lambda rows: P.race_poll_features(rows, year, office, cut, day),
-        "approval_polls": lambda rows: P.approval_features(rows, cut),
-        "generic_ballot_polls": lambda rows: P.generic_ballot_features(rows, cut),
-        "special_elections": lambda rows: P.special_election_swing(rows, cut),
-        "naep": lambda rows: naep_wide(rows, cut),
-        "religion": lambda rows: religion_latest(rows, cut),
+        "state_economy": lambda t: E.state_economy_features(t, cut),
+        "national_economy": lambda t: E.national_features(t, cut),
+        "candidates": lambda t: C.incumbency_features(t, year, office, cut),
+        "candidate_finance": lambda t: C.finance_features(t, year, office, cut),
+        "polls": lambda t: P.race_poll_features(t, year, office, cut, day),
+        "approval_polls": lambda t: P.approval_features(t, cut),
+        "generic_ballot_polls": lambda t: P.generic_ballot_features(t, cut),
+        "special_elections": lambda t: P.special_election_swing(t, cut),
+        "naep": lambda t: naep_wide(t, cut),
+        "religion": lambda t: religion_latest(t, cut),
     }
-    taken = S.take(name, table, year, office, cut)
-    if name not in of_rows:
-        return taken, None
-    return taken, materialize(of_rows[name](taken.rows), f"features-{name}")
+    parts = {name: of_rows[name](table) for name, table in rows.items() if name in of_rows}
+    if "population" in parts and "geography" in rows:
+        parts["population"] = D.density_features(parts["population"], rows["geography"], cut)
+    return parts
 
 
 def _build_provenance(

@@ -101,9 +101,14 @@ def _newest_per_key(
     values: Sequence[str],
     allowed: Column | None = None,
     only: Column | None = None,
+    calendar: bool = True,
 ) -> Slice:
     """Per key the row that is greatest in ``order`` (NULL counts as the least). Rows that are
-    not ``only`` are of no use to the features: they are one group, which only has facts."""
+    not ``only`` are of no use to the features: they are one group, which only has facts.
+
+    Keys made of states, periods and kinds of measures (``calendar``) are as many as the calendar
+    allows, however large the table is: some ten thousand rows, which the features
+    then take as one partition, without further shuffles."""
     keys = [k for k in keys if k in df.columns]
     ranks = [F.col(o) if isinstance(o, str) else o for o in order if not isinstance(o, str) or o in df.columns]
     kept = [c for c in dict.fromkeys([*values, *_REVISION]) if c in df.columns and c not in keys]
@@ -118,7 +123,7 @@ def _newest_per_key(
         f"slice-{purpose}",
     )
     rows = one.where("_used").select(*keys, *[F.col(f"_best.{c}").alias(c) for c in kept])
-    return Slice(rows, one.select(*_FACT_NAMES))
+    return Slice(rows.coalesce(1) if calendar else rows, one.select(*_FACT_NAMES))
 
 
 def _rows_of(df: DataFrame, purpose: str, values: Sequence[str], only: Column) -> Slice:
@@ -181,7 +186,7 @@ def _snapshots(keys: str, values: str):
 
 def _industry(df: DataFrame, cut: dt.date, year: int, office: str, purpose: str) -> Slice:
     one = materialize(E.industry_by_year(df, _facts(df, F.lit(True))), f"slice-{purpose}")
-    return Slice(one.drop(*_FACT_NAMES), one.select(*_FACT_NAMES))
+    return Slice(one.drop(*_FACT_NAMES).coalesce(1), one.select(*_FACT_NAMES))
 
 
 def _accounts(df: DataFrame, cut: dt.date, year: int, office: str, purpose: str) -> Slice:
@@ -195,7 +200,7 @@ def _candidates(df: DataFrame, cut: dt.date, year: int, office: str, purpose: st
     if "candidate_id" not in df.columns:
         return _rows_of(df, purpose, [*values, *_REVISION], F.col("cycle") == year)
     order = [*_held_first(df, cut), "publication_date", "revision_vintage"]
-    return _newest_per_key(df, purpose, ["candidate_id", "cycle"], order, values, only=F.col("cycle") == year)
+    return _newest_per_key(df, purpose, ["candidate_id", "cycle"], order, values, only=F.col("cycle") == year, calendar=False)
 
 
 def _finance(df: DataFrame, cut: dt.date, year: int, office: str, purpose: str) -> Slice:
@@ -203,8 +208,9 @@ def _finance(df: DataFrame, cut: dt.date, year: int, office: str, purpose: str)
     values = ["state", "district", "party", "cycle", "coverage_end_date", *C.MONEY]
     public = F.to_date("publication_date") <= F.lit(cut)
     return _newest_per_key(
-        held, purpose, ["office", "candidate_id", "retrieval_date"], ["coverage_end_date", "revision_vintage"], values, public
-    )
+        held, purpose, ["office", "candidate_id", "retrieval_date"], ["coverage_end_date", "revision_vintage"], values,
+        public, calendar=False,
+    )
 
 
 def _naep(df: DataFrame, cut: dt.date, year: int, office: str, purpose: str) -> Slice:
