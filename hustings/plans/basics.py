@@ -249,26 +249,28 @@ def _(t: Tables):
 
 @query(
     "join02_inner_chunks",
-    "select l.state, l.land_area_sq_miles, u.pct_urban from geography l join urban_rural u on u.state = l.state where l.year = 1998 and u.year = 1994",
+    """select l.state, l.land_area_sq_miles, u.pct_urban from
+    (select state, arg_max(land_area_sq_miles, year) as land_area_sq_miles from geography group by 1) l
+    join (select state, arg_max(pct_urban, year) as pct_urban from urban_rural group by 1) u on u.state = l.state""",
     "pct_urban",
 )
 def _(t: Tables):
     from ..sources.normalize import merge_on_state
 
-    land = t("geography").where("year = 1998").select("state", "year", "land_area_sq_miles")
-    urban = t("urban_rural").where("year = 1994").select("state", "year", "pct_urban")
-    return merge_on_state([land, urban]).drop("year")
+    newest = {"geography": "land_area_sq_miles", "urban_rural": "pct_urban"}
+    chunks = [t(name).groupBy("state").agg(F.max_by(c, "year").alias(c)) for name, c in newest.items()]
+    return merge_on_state(chunks)
 
 
 @query(
     "join03_full_outer",
-    "select state, year, average_score, ballots_cast from (select state, assessment_year as year, average_score from naep where grade = 4 and subject = 'reading' and assessment_year <= 1998) n full outer join (select state, year, ballots_cast from turnout where year >= 1997) t using (state, year)",
+    """select state, year, grade, subject, average_score, ballots_cast from
+    (select state, assessment_year as year, grade, subject, average_score from naep) n
+    full outer join (select state, year, ballots_cast from turnout) t using (state, year)""",
 )
 def _(t: Tables):
-    scores = t("naep").where("grade = 4 and subject = 'reading' and assessment_year <= 1998").select(
-        "state", F.col("assessment_year").alias("year"), "average_score"
-    )
-    votes = t("turnout").where("year >= 1997").select("state", "year", "ballots_cast")
+    scores = t("naep").select("state", F.col("assessment_year").alias("year"), "grade", "subject", "average_score")
+    votes = t("turnout").select("state", "year", "ballots_cast")
     return scores.join(votes, ["state", "year"], "full_outer")
 
 

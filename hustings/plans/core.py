@@ -14,10 +14,9 @@ from ..operators import pit
 from ..operators import polls as P
 from ..operators import turnout as TO
 from ..operators.relational import weighted_mean
-from ..schema import enforce_schema
 from .bridge import AS_OF, YEAR
 from .checks import RACE, T, history, newest, weighted, window
-from .registry import Tables, query
+from .registry import Tables, missing_shares, query
 
 SHARES = (
     "dem_vote_share rep_vote_share other_vote_share dem_two_party_share rep_two_party_share "
@@ -263,8 +262,14 @@ for _office in ("president", "senate", "house"):
     "dem_two_party_share winning_margin",
 )
 def _(t: Tables):
-    summary = enforce_schema(L.race_summary(t("election_results")), "election_race_summary")
-    return summary.select(
+    from ..session import scratch_dir
+    from ..storage.lake import Lake
+    from ..storage.load import rebuild_race_summary
+
+    lake = Lake(t.spark, scratch_dir(t.spark, "derived"))
+    lake.write_processed(t("election_results"), "election_results", "medsl-senate")
+    rebuild_race_summary(lake)
+    return lake.read_table("election_race_summary").select(
         *L.RACE_KEY, "election_date", "dem_votes", "rep_votes", "other_votes",
         "total_candidate_votes", "total_votes", "winner_party", "dem_candidate", "rep_candidate",
         "n_candidates", "uncontested", "dem_two_party_share", "winning_margin",
@@ -510,12 +515,20 @@ def _(t: Tables):
 
 @query(
     "fea02_race_universe_states",
-    "select state from state_names where state = 'DC' or is_state "
-    "and not exists (select 1 from races where year = 2040)",
+    """select n.state, count(r.state) as earlier_races, max(r.year) as last_year from state_names n
+    left join races r on r.state = n.state and r.office = 'president' and not r.special
+    where (n.state = 'DC' or n.is_state) and not exists (select 1 from races where year = 2040) group by 1""",
 )
 def _(t: Tables):
+    # Neither results nor candidates of the cycle: every state, with what it had before.
     summary = L.stored_summary(t("election_results"))
-    return X.race_universe("president", 2040, summary, t("candidates"), AS_OF)
+    earlier = L.regular_races(summary, "president").groupBy("state").agg(
+        F.count(F.lit(1)).alias("n"), F.max("year").alias("last_year")
+    )
+    races = X.race_universe("president", 2040, summary, t("candidates"), AS_OF)
+    return races.join(earlier, "state", "left").select(
+        "state", F.coalesce("n", F.lit(0)).alias("earlier_races"), "last_year"
+    )
 
 
 @query(
@@ -533,33 +546,48 @@ def _audit(t: Tables):
     return X.audit_features(t.many(FEATURE_TABLES), YEAR, "senate", AS_OF)
 
 
-def _audit_oracle() -> str:
-    parts = []
+def _family_sources(office: str):
+    """Family, its source and which rows of it a build may use."""
     for family, table in X.FAMILIES.items():
         where = f"publication_date <= {T}"
         source = table
         if family == "targets":
-            source, where = "races", f"year = {YEAR} and office = 'senate' and not special"
+            source, where = "races", f"year = {YEAR} and office = '{office}' and not special"
         elif family == "political_history":
             source, where = "races", f"publication_date <= {T} and year < {YEAR}"
         elif family == "finance":
             where += f" and cycle = {YEAR} and retrieval_date <= {T}"
-        parts.append(
-            f"""select '{family}' as family, count(*) > 0 as available, max(publication_date) as max_publication_date,
-            round(avg(cast(publication_date_estimated as int)), 3) as estimated_share, false as post_as_of, true as forecast_before_election
-            from {source} where {where}"""
-        )
-    return " union all ".join(parts)
+        elif family == "incumbency":
+            where += " or publication_date is null"
+        yield family, source, where
+
+
+def audit_oracle() -> str:
+    return " union all ".join(
+        f"""select '{family}' as family, count(*) > 0 as available, max(publication_date) as max_publication_date,
+        round(avg(cast(publication_date_estimated as int)), 3) as estimated_share, false as post_as_of, true as forecast_before_election
+        from {source} where {where}"""
+        for family, source, where in _family_sources("senate")
+    )
+
+
+def provenance_oracle(office: str) -> str:
+    return " union all ".join(
+        f"""select '{family}' as family, count(*) as rows, list_sort(coalesce(list(distinct dataset_id), [])) as datasets,
+        max(publication_date) as max_publication_date, round(avg(cast(publication_date_estimated as int)), 3) as estimated_share
+        from {source} where {where}"""
+        for family, source, where in _family_sources(office)
+    )
 
 
-@query("fea05_audit_features", _audit_oracle())
+@query("fea05_audit_features", audit_oracle())
 def _(t: Tables):
     return _audit(t)
 
 
 @query(
     "fea04_leakage_check",
-    f"select * from ({_audit_oracle()}) a where post_as_of",
+    f"select * from ({audit_oracle()}) a where post_as_of",
 )
 def _(t: Tables):
     return _audit(t).where("post_as_of")
@@ -623,10 +651,7 @@ def _(t: Tables):
 
 @query(
     "fea12_missingness",
-    """select name as "column", round(avg(miss), 3) as missing from (
-    select unnest(['sample_size', 'dem_pct', 'rep_pct']) as name,
-    unnest([cast(sample_size is null as int), cast(dem_pct is null as int), cast(rep_pct is null as int)]) as miss
-    from polls) u group by name having avg(miss) > 0""",
+    missing_shares("select * from polls") + " having missing > 0",
 )
 def _(t: Tables):
-    return X.missingness(t("polls").select("sample_size", "dem_pct", "rep_pct"))
+    return X.missingness(t("polls"))

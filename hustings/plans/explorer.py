@@ -166,14 +166,13 @@ def _(t: Tables):
 
 @query(
     "exp06_state_against_mean",
-    """select assessment_year, max(case when state = 'MA' then average_score end) as state_value, avg(average_score) as all_state_mean,
-    max(case when state = 'MA' then average_score end) - avg(average_score) as difference from naep
-    where grade = 8 and subject = 'mathematics' group by 1""",
+    """select assessment_year, grade, subject, max(case when state = 'MA' then average_score end) as state_value,
+    avg(average_score) as all_state_mean,
+    max(case when state = 'MA' then average_score end) - avg(average_score) as difference from naep group by 1, 2, 3""",
     "all_state_mean difference",
 )
 def _(t: Tables):
-    rows = t("naep").where("grade = 8 and subject = 'mathematics'")
-    return X.against_mean(rows, "MA", "assessment_year", "average_score")
+    return X.against_mean(t("naep"), "MA", ["assessment_year", "grade", "subject"], "average_score")
 
 
 @query(

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ..operators.features import build_features
 from ..operators.relational import keep_last
 from ..schema import enforce_schema
 from ..session import scratch_dir
@@ -15,7 +16,9 @@ from ..sources.registry import get_spec
 from ..storage import load as ST
 from ..storage.lake import Lake
 from . import feeds  # noqa: F401  (registers the raw layouts)
-from .registry import Tables, query
+from .bridge import AS_OF, YEAR
+from .core import FEATURE_RATIOS, FEATURE_TABLES, features_oracle, provenance_oracle
+from .registry import Tables, missing_shares, query
 
 HELD = dt.date(2001, 12, 31)
 
@@ -612,6 +615,20 @@ def _(t: Tables):
     return cells.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "src05_acs_cells_by_state",
+    """select variable, value, lpad(cast(c_nationkey as varchar), 2, '0') as state_code, count(*) as n from (
+    select 'NAME' as variable, c_name as value, c_nationkey from orders join customer on o_custkey = c_custkey union all
+    select 'B01003_001E', cast(o_orderkey as varchar), c_nationkey from orders join customer on o_custkey = c_custkey) c
+    group by 1, 2, 3""",
+)
+def _(t: Tables):
+    # One response per file: its rows are told apart by their number in it.
+    bodies = t.sql(_ACS_BODY).withColumn("file", F.concat("file", F.lit("-"), F.xxhash64("value").cast("string")))
+    cells = N.acs_cells_by_state(R.parse_acs_cells(bodies))
+    return cells.groupBy("variable", "value", "state_code").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "src06_response_problem",
     """select page_id, case page_id % 5 when 0 then 'empty' when 1 then 'auth' when 2 then 'schema' when 3 then 'parse'
@@ -673,8 +690,7 @@ def _(t: Tables):
     t.sql("select * from raw_qcew").write.option("header", True).csv(path)
     # The folder carries the name of the file; the year comes from it.
     df = R.read_csv(t.spark, path)
-    name = F.regexp_extract(F.input_file_name(), r"qcew_(\d{4})_", 1)
-    return df.withColumn("year", name.try_cast("bigint")).select(
+    return R.with_file_year(df).select(
         "area_fips", "industry_code", "annual_avg_emplvl", "year"
     )
 
@@ -760,16 +776,17 @@ def _(t: Tables):
     )
 
 
-@query(
-    "src19_load_features",
-    "select distinct state, district from races where year = 2000 and office = 'senate' and not special",
-)
-def _(t: Tables):
-    from ..operators.features import build_features
-
+def _stored_features(t: Tables, office: str):
+    """The build of all feature tables, stored."""
     lake = _fresh_lake(t, "features")
-    build = build_features(t.many("election_results candidates"), 2000, "senate", "2000-10-20")
-    return lake.load_features(lake.write_features(build)).select("state", "district")
+    build = build_features(t.many(FEATURE_TABLES), YEAR, office, AS_OF)
+    return lake, lake.write_features(build)
+
+
+@query("src19_load_features", features_oracle("president"), FEATURE_RATIOS)
+def _(t: Tables):
+    lake, path = _stored_features(t, "president")
+    return lake.load_features(path)
 
 
 @query("snk01_write_parquet", "select l_orderkey, l_quantity from lineitem")
@@ -864,21 +881,27 @@ def _(t: Tables):
     )
 
 
+@query("snk07_feature_metadata", provenance_oracle("senate"))
+def _(t: Tables):
+    lake, _path = _stored_features(t, "senate")
+    meta = t.spark.read.json(f"{lake.root}/features_metadata/office=senate/year={YEAR}")
+    return meta.select(
+        "family", "rows", "datasets", F.col("max_publication_date").cast("date").alias("max_publication_date"),
+        F.col("publication_date_estimated_share").alias("estimated_share"),
+    )
+
+
 @query(
-    "snk07_feature_metadata",
-    """select 'candidates' as source_table, count(*) as rows from candidates
-    where publication_date <= date '2000-10-20' or publication_date is null""",
+    "snk07_feature_build",
+    f"""select m."column", m.missing, r.rows from ({missing_shares(features_oracle('house'))}) m
+    cross join (select count(*) as rows from ({features_oracle('house')}) f) r""",
 )
 def _(t: Tables):
-    from ..operators.features import build_features
-
-    lake = _fresh_lake(t, "metadata")
-    build = build_features(t.many("election_results candidates"), 2000, "senate", "2000-10-20")
-    lake.write_features(build)
-    meta = t.spark.read.json(f"{lake.root}/features_metadata/office=senate/year=2000")
-    return meta.where(F.col("family") == "incumbency").select(
-        F.lit("candidates").alias("source_table"), "rows"
+    lake, _path = _stored_features(t, "house")
+    about = t.spark.read.schema("rows bigint, missingness map<string,double>").json(
+        f"{lake.root}/features_builds/office=house/year={YEAR}"
     )
+    return about.select("rows", F.explode("missingness").alias("column", "missing")).select("column", "missing", "rows")
 
 
 @query(

@@ -48,6 +48,12 @@ def rounded(df: DataFrame, names: str) -> DataFrame:
     return df.withColumns({c: F.round(c, DIGITS) for c in names.split()})
 
 
+def missing_shares(sql: str) -> str:
+    """Statement: the share of NULLs of each column of ``sql``."""
+    return f"""select n as "column", round(avg(cast(v is null as int)), 3) as missing
+    from (select cast(columns(*) as varchar) from ({sql}) w) unpivot include nulls (v for n in (columns(*))) group by 1"""
+
+
 def query(name: str, oracle: str | None = None, ratios: str = ""):
     """Register ``build(tables)``. Columns named in ``ratios`` are derived by
     division or averaging and compared after rounding to nine digits."""

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..errors import SchemaChangeError
 from ..operators import elections as L
 from ..operators import quality as Q
-from .registry import Tables, query
+from ..session import scratch_dir
+from ..sources import normalize as N
+from ..storage.lake import Lake
+from ..storage.load import validate_store
+from .registry import Tables, missing_shares, query
 
 
 def _faulty(t: Tables):
@@ -227,19 +236,18 @@ def _(t: Tables):
 
 @query(
     "dq15_audit_frame",
-    """select 'polls' as "table", count(*) as rows, (select count(*) from (describe select * from polls)) as columns,
-    cast(coalesce((select sum(n) from (select count(*) as n from polls group by poll_id, state, office, district, year
-      having count(*) > 1) d), 0) as bigint) as duplicate_key_rows,
-    list_sort(list(distinct dataset_id)) as datasets, count(distinct state) as states,
-    'sample_size' as most_missing, round(avg(cast(sample_size is null as int)), 3) as most_missing_share from polls""",
+    f"""select a.*, m."column", m.missing from (
+      select 'polls' as "table", count(*) as rows, (select count(*) from (describe select * from polls)) as columns,
+      cast(coalesce((select sum(n) from (select count(*) as n from polls group by poll_id, state, office, district, year
+        having count(*) > 1) d), 0) as bigint) as duplicate_key_rows,
+      list_sort(list(distinct dataset_id)) as datasets, count(distinct state) as states from polls) a
+    cross join ({missing_shares("select * from polls")}) m""",
 )
 def _(t: Tables):
-    audit = Q.audit_frame(t("polls"), "polls")
+    audit = Q.audit_frame(t("polls"), "polls", most=None)
     return audit.select(
         "table", "rows", F.col("columns").cast("bigint").alias("columns"), "duplicate_key_rows",
-        "datasets", "states",
-        F.col("missingness_top")[0]["column"].alias("most_missing"),
-        F.col("missingness_top")[0]["missing"].alias("most_missing_share"),
+        "datasets", "states", F.inline("missingness_top"),
     )
 
 
@@ -251,39 +259,75 @@ def _(t: Tables):
     return Q.severity_counts(_found(t))
 
 
+# Feeds, their normalizers, and a column that each of these cannot do without.
+_FEEDS = {
+    "raw_returns": ("candidatevotes", lambda df: N.normalize_returns(df, "house", "party")),
+    "raw_eavs": ("F1a", lambda df: N.normalize_eavs(df, 2022)),
+    "raw_pep": ("STATE", lambda df: N.normalize_pep(df, 2024)),
+    "raw_gazetteer": ("ALAND_SQMI", lambda df: N.normalize_gazetteer(df, 2020)),
+    "raw_urban": ("POP_URB", lambda df: N.normalize_urban_rural_county(df, 2020)),
+    "raw_qcew": ("annual_avg_emplvl", lambda df: N.normalize_qcew(df, 2023)),
+    "raw_bea": ("DataValue", lambda df: N.normalize_bea(df, "real_gdp", "SAGDP9N", "1", "bea_annual")),
+    "raw_cn": ("CAND_ID", lambda df: N.normalize_candidate_master(df, 2000, dt.date(2001, 12, 31))),
+    "raw_finance": ("TTL_RECEIPTS", lambda df: N.normalize_candidate_finance(df, 2000, dt.date(2000, 12, 31))),
+    "raw_approval": ("approve", N.normalize_approval_polls),
+    "raw_generic": ("generic_dem", N.normalize_generic_ballot),
+    "raw_polls": ("dem_pct", N.normalize_race_polls),
+    "raw_religion": ("survey_year", N.normalize_religion),
+}
+
+
 @query(
     "dq17_missing_source_columns",
-    """select 'raw_eavs' as feed, 'F1a' as missing, count(*) as rows from raw_eavs""",
+    " union all ".join(
+        f"select '{feed}' as feed, '{column}' as missing, count(*) as rows from {feed}"
+        for feed, (column, _) in _FEEDS.items()
+    ),
 )
 def _(t: Tables):
-    from ..errors import SchemaChangeError
-    from ..sources.normalize import normalize_eavs
+    """Every normalizer refuses a file without the column; the rows that it would have taken are counted."""
+    refused = []
+    for feed, (column, normalize) in _FEEDS.items():
+        raw = t.sql(f"select * from {feed}")
+        try:
+            normalize(raw.drop(column))
+        except SchemaChangeError:
+            rows = raw.agg(F.count(F.lit(1)).alias("rows"))
+            refused.append(rows.select(F.lit(feed).alias("feed"), F.lit(column).alias("missing"), "rows"))
+        else:
+            raise RuntimeError(f"{feed}: a missing column went unnoticed")
+    return reduce(DataFrame.unionByName, refused)
 
-    raw = t.sql("select * from raw_eavs")
-    try:
-        normalize_eavs(raw.drop("F1a"), 2022)
-    except SchemaChangeError:
-        return raw.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit("raw_eavs").alias("feed"), F.lit("F1a").alias("missing"), "rows"
-        )
-    raise RuntimeError("a missing column went unnoticed")
+
+def _store_faults(table: str, dataset: str, faults: str) -> str:
+    return f"select '{table}' as \"table\", '{dataset}' as dataset, rule, \"count\" from ({faults}) f where \"count\" > 0"
+
+
+_LATE = "select 'publication_before_observation' as rule, count(*) as \"count\" from naep where {}"
 
 
 @query(
     "dq18_validate_store",
-    """select 'naep' as "table", 'publication_before_observation' as rule, count(*) as "count" from naep
-    having count(*) > 0""",
+    " union all ".join(
+        [
+            _store_faults("naep", "naep-state", _LATE.format("grade = 4")),
+            _store_faults("naep", "naep-trial", _LATE.format("grade <> 4")),
+            _store_faults(
+                "turnout", "eac-eavs",
+                "select 'ballots_exceed_registered' as rule, count(*) as \"count\" from turnout "
+                "where ballots_cast * 2 > registered_voters * 1.05",
+            ),
+        ]
+    ),
 )
 def _(t: Tables):
-    from ..session import scratch_dir
-    from ..storage.lake import Lake
-    from ..storage.load import validate_store
-
     lake = Lake(t.spark, scratch_dir(t.spark, "validate"))
     late = t("naep").withColumn("observation_date", F.date_add("publication_date", 1))
-    lake.write_processed(late, "naep", "naep-state")
-    lake.write_processed(
-        t("turnout").withColumn("observation_date", F.col("publication_date")), "turnout", "eac-eavs"
+    lake.write_processed(late.where("grade = 4"), "naep", "naep-state")
+    lake.write_processed(late.where("grade <> 4"), "naep", "naep-trial")
+    doubled = t("turnout").withColumns(
+        {"observation_date": F.col("publication_date"), "ballots_cast": F.col("ballots_cast") * 2}
     )
+    lake.write_processed(doubled, "turnout", "eac-eavs")
     issues, _ok = validate_store(lake)
-    return issues.select("table", "rule", "count")
+    return issues.select("table", "dataset", "rule", "count")

@@ -15,6 +15,8 @@ from .bridge import AS_OF, YEAR
 from .checks import T, history, newest
 from .core import (
     APPROVAL,
+    FEATURE_RATIOS,
+    FEATURE_TABLES,
     GENERIC,
     GROWTH,
     HISTORY,
@@ -26,6 +28,8 @@ from .core import (
     RACE_POLLS,
     SHARES,
     TURNOUT,
+    audit_oracle,
+    features_oracle,
 )
 from .registry import Tables, query
 
@@ -422,13 +426,14 @@ def _(t: Tables):
 
 
 @query(
-    "api35_runs_per_source_status",
-    f"""select g.status, count(r.run_id) as runs from {_REGISTRY} g left join ingestion_runs r on r.dataset = g.id group by 1""",
+    "api35_status_counts",
+    f"""select s.status, count(distinct g.id) as datasets, count(distinct r.dataset) as datasets_run, count(r.run_id) as runs,
+    count(r.run_id) filter (where r.status = 'failed') as failed_runs
+    from (select unnest([{", ".join(f"'{s}'" for s in G.STATUSES)}]) as status) s
+    left join {_REGISTRY} g on g.status = s.status left join ingestion_runs r on r.dataset = g.id group by 1""",
 )
 def _(t: Tables):
-    specs = G.sources(t.spark).select("id", "status")
-    runs = t("ingestion_runs").select(F.col("dataset").alias("id"), "run_id")
-    return specs.join(runs, "id", "left").groupBy("status").agg(F.count("run_id").alias("runs"))
+    return G.status_counts(t.spark, t("ingestion_runs"))
 
 
 def _status(t: Tables):
@@ -459,8 +464,11 @@ def _(t: Tables):
     return known_broken(_status(t))
 
 
-@query("api30_features_audit", "select family, count(*) > 0 as available from (select 'labor' as family from labor where publication_date <= date '2000-10-20') x group by 1")
+@query("api30_features_audit", audit_oracle())
+def _(t: Tables):
+    return Platform.of_tables(t.many(FEATURE_TABLES)).features.audit(YEAR, "senate", AS_OF)
+
+
+@query("api30_features_build", features_oracle("house"), FEATURE_RATIOS)
 def _(t: Tables):
-    tables = t.many("election_results labor")
-    audit = Platform.of_tables(tables).features.audit(YEAR, "senate", AS_OF)
-    return audit.where(F.col("family") == "labor").select("family", "available")
+    return Platform.of_tables(t.many(FEATURE_TABLES)).features.build(YEAR, "house", AS_OF).frame
