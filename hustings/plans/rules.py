@@ -208,9 +208,9 @@ def _(t: Tables):
 
 @query(
     "dq14_row_count_drift",
-    """select dataset, case when abs((row_count - p) / p) > 0.25 then concat('row count changed ',
+    """select dataset, case when abs((row_count - p) / p) > 0.25 then concat(row_count, ' rows, ',
       case when row_count >= p then '+' else '' end, cast(cast(round_even((row_count - p) * 100.0 / p, 0) as bigint) as varchar),
-      '% versus previous run (', p, ' -> ', row_count, ')') end as message
+      '% against the ', p, ' of the run before') end as message
     from (select dataset, max(case when rn = 1 then row_count end) as row_count, nullif(max(case when rn = 2 then row_count end), 0) as p
       from (select *, row_number() over (partition by dataset order by started_at desc, run_id desc) as rn
         from ingestion_runs where status = 'success') r group by dataset) x""",

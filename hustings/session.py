@@ -37,13 +37,28 @@ def local_session(cpus: int | str = "*", app: str = "hustings") -> SparkSession:
     return spark
 
 
+def one_machine(master: str) -> bool:
+    """Whether driver and executors are one process: ``local``, ``local[8]``, ``local[*, 3]``."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """This application's folder below the cluster's shared folder.
 
-    ``spark.checkpoint.dir`` names the shared folder. Where it is unset, the
-    warehouse, which the driver and all executors share too, takes its place.
+    ``spark.checkpoint.dir`` names the shared folder. Where it is unset, the warehouse takes
+    its place if it is one that all machines see: a local folder will do only where
+    everything runs on one machine, and is refused elsewhere.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+        scheme = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
+        if scheme == "file" and not one_machine(spark.sparkContext.master):
+            raise ValueError(
+                f"spark.checkpoint.dir is unset and the warehouse {base} is a folder of one machine; "
+                "set spark.checkpoint.dir to a folder that the driver and all executors share"
+            )
     return f"{base.rstrip('/')}/hustings-scratch/{spark.sparkContext.applicationId}"
 
 
