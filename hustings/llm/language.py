@@ -162,6 +162,8 @@ def predict(
     letterless: str | None = UNKNOWN,
 ) -> DataFrame:
     """``docs`` with the language (``letterless`` for texts without letters) and the cosine to its prototype added."""
+    if {n.lower() for n in names} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"columns exist already: {names}; name others")
     dims = len(next(iter(model.values()))) if model else DIMS
     out = docs.withColumns({names[0]: F.lit(None).cast("string"), names[1]: F.lit(None).cast("double")})
     held = docs.sparkSession.sparkContext.broadcast(model)

@@ -12,7 +12,7 @@ per row in the JVM, without a shuffle.
 
 Cases: a null key hashes to a slot of its own like any value, so repeated and
 null keys are placed together. An empty table stays empty. Extra columns pass
-through; the added names step aside for columns that exist.
+through; names for the added ones that exist already, in any case, are refused.
 """
 
 from __future__ import annotations
@@ -75,9 +75,10 @@ def place(
     shard_name: str = "shard",
 ) -> DataFrame:
     """``df`` with the slot of the key and the shard that owns it."""
-    clash = {slot_name, shard_name} & set(df.columns)
-    if clash:
-        raise ValueError(f"columns exist already: {sorted(clash)}; name others")
+    taken = {c.lower() for c in df.columns}
+    clash = [c for c in (slot_name, shard_name) if c.lower() in taken]
+    if clash or slot_name.lower() == shard_name.lower():
+        raise ValueError(f"columns exist already: {clash or [slot_name]}; name others")
     table = lookup_table(df.sparkSession, shards, slots).toDF(slot_name, shard_name)
     return (
         df.withColumn(slot_name, slot_of(key, slots))

@@ -13,7 +13,8 @@ execution splits; then each page gathers the lines to drop, at most its own.
 Cases: a null url, or one without a host, is the host NULL, which has no site
 and keeps all lines. A null page text has no lines and stays NULL. Empty lines
 are kept and never counted. Repeated pages (same id) each count as a page, and
-each is stripped. Extra columns pass through.
+each is stripped. Extra columns pass through, but for names of added ones, in any case, which
+are refused.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from pyspark.sql import functions as F
 from .common import free_name, materialize
 
 RATIO = 0.3
-LEAST = 5
+#: The least number of pages at which a line repeats.
+LEAST = 2
 #: A new line begins at these tags; all other tags go.
 BLOCKS = "(?i)<(br|p|/p|li|/li|div|/div|h[1-6]|/h[1-6]|tr|/tr|title|/title|nav|article|footer|header)[^>]*>"
-HIDDEN = "(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
+#: An element or comment that never ends takes the rest of the page, so a page is read once, however many there are.
+HIDDEN = r"(?is)<script.*?(?:</script>|\z)|<style.*?(?:</style>|\z)|<!--.*?(?:-->|\z)"
 
 
 def host_of(url: Column) -> Column:
@@ -76,7 +79,8 @@ def strip(
 ) -> DataFrame:
     """``pages`` with ``host``, ``text`` (lines kept), ``n_lines`` and ``n_dropped`` added."""
     row = free_name(pages, "row")
-    clash = {"host", "text", "n_lines", "n_dropped"} & set(pages.columns)
+    given = {c.lower() for c in pages.columns} - ({text_col.lower()} if is_html else set())
+    clash = {"host", "text", "n_lines", "n_dropped"} & given
     if clash:
         raise ValueError(f"columns exist already: {sorted(clash)}; select or rename")
     text = F.col(f"`{text_col}`")
