@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..session import materialize, scratch_dir
 
 __all__ = [
-    "documents", "fold", "free_name", "materialize", "running", "scratch_dir", "table", "text_words", "words_of",
+    "documents", "fold", "free_name", "materialize", "number_copies", "running", "scratch_dir", "table", "text_words", "words_of",
 ]
 
 
@@ -129,3 +129,32 @@ def running(df: DataFrame, order: list[str], sums: dict[str, str], rank: str | N
     if rank:
         added[rank] = F.col(names[0]) + F.row_number().over(window) - 1
     return out.withColumns(added).drop(part, *names)
+
+
+def number_copies(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Number rows that are equal in ``keys`` from 0, so that each can be dealt by itself.
+
+    Only rows with an equal one are numbered, by ranges that a hot key is split over. Which of
+    equal rows gets which number is arbitrary.
+    """
+    repeated = materialize(
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1").select(*keys), "repeated"
+    )
+    if repeated.isEmpty():
+        return df.withColumn(name, F.lit(0).cast("bigint"))
+
+    def same(other: DataFrame):
+        renamed = other.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+        condition = F.lit(True)
+        for k in keys:
+            condition &= F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+        return renamed, condition
+
+    other, condition = same(repeated)
+    single = df.join(other, condition, "left_anti").withColumn(name, F.lit(0).cast("bigint"))
+    row = free_name(df, "row")
+    several = df.join(other, condition, "left_semi").withColumn(row, F.monotonically_increasing_id())
+    placed = running(several, [*keys, row], {}, rank=name)
+    first, condition = same(placed.groupBy(*keys).agg(F.min(name).alias("_first")))
+    placed = placed.join(first, condition).withColumn(name, F.col(name) - F.col("_first"))
+    return single.unionByName(placed.select(*df.columns, name))

@@ -22,7 +22,8 @@ draws, disjoint from all others', and it is shuffled by itself. A tree task sees
 number per source, ``TREE_DEPTH`` levels at a time.
 
 All draws are seeded by hashes and node numbers, so reruns agree, whatever the
-number of tasks. Rows that are equal in id, source and text are drawn together.
+number of tasks. Rows that are equal in id, source and text are numbered, and each
+copy is dealt and drawn by itself.
 
 Cases: a null text has no words; documents without words go with their block and
 take 0 words. A null source is a source of its own; null ids hash like any value. A
@@ -39,7 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, materialize, running
+from .common import free_name, materialize, number_copies, running, ship
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -60,6 +61,13 @@ def key_of(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, F.coalesce(text, F.lit("")), text.isNull())
 
 
+def keyed(rows: DataFrame) -> DataFrame:
+    """Rows (source, key) with a key of its own for each copy of equal rows."""
+    copy = free_name(rows, "copy")
+    own = F.when(F.col(copy) == 0, F.col("key")).otherwise(F.xxhash64("key", copy))
+    return number_copies(rows, ["source", "key"], copy).withColumn("key", own).drop(copy)
+
+
 def targets(sized: DataFrame) -> DataFrame:
     """(source, rank, source_size, n_docs, target) of every source of (source, size)."""
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
@@ -150,7 +158,9 @@ class Mix:
         source = F.col("source").cast("string").alias("source")
         text = F.col("text").cast("string")
         # Texts are read once; all that follows works on this narrow table.
-        self.sized = materialize(docs.select("doc_id", source, key_of(F.col("doc_id"), text).alias("key"), size_of(text).alias("size")), "sized")
+        ship(docs.sparkSession)
+        sized = materialize(docs.select("doc_id", source, key_of(F.col("doc_id"), text).alias("key"), size_of(text).alias("size")), "sized")
+        self.sized = materialize(keyed(sized), "keyed")
         self.block_words = block_words
         self.sources = materialize(targets(self.sized), "targets")
         rows = _in_blocks(self.sized, self.sources, block_words)
@@ -237,7 +247,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
         key_of(F.col("doc_id"), text).alias("key"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row),
     )
-    taken = mix.drawn(packed).select(row, "key", F.posexplode("shards").alias("turn", "shard"))
+    taken = mix.drawn(keyed(packed)).select(row, "key", F.posexplode("shards").alias("turn", "shard"))
     order = F.xxhash64("key", "turn", "shard", F.lit(SEED))
     return taken.withColumn("order", order).repartition("shard").sortWithinPartitions("shard", "order", "key").select(f"{row}.*")
 

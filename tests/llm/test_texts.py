@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hustings.llm import class_lm, language, mixing, quality, sharding, site_lines, token_files
-from hustings.llm.common import running
+from hustings.llm.common import number_copies, running
 
 
 def held(doc_id, folds, k):
@@ -218,6 +218,32 @@ def test_mixing(odd, odd_rows, nothing):
     assert mixing.digest(nothing).collect() == [] and mixing.mixed(nothing).collect() == []
 
 
+def test_mixing_deals_equal_rows_one_by_one(spark):
+    rows = [(1, " ".join(["w"] * 120), "a")] * 5000 + [(10 + i, " ".join(["v"] * (40 + i % 90)), "b") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in "ab"}
+    want = wanted_targets(sizes)
+    taken = Counter()
+    first = mixing.digest(docs).collect()
+    for r in first:
+        assert r.taken <= 2 * r.size
+        taken[r.source_size] += r.taken
+    assert abs(taken[sizes["a"]] - want["a"]) <= 120 and abs(taken[sizes["b"]] - want["b"]) <= 130
+    again = mixing.digest(docs.repartition(7)).collect()
+    key = lambda r: (r.doc_id, r.taken, r.shards)
+    assert sorted(map(key, first)) == sorted(map(key, again))
+    assert mixing.mixed(docs).groupBy("source").count().where("source = 'a'").first()["count"] * 120 == taken[sizes["a"]]
+
+
+def test_number_copies(spark):
+    rows = [("a", 1)] * 400 + [(None, 2)] * 3 + [("b", 3), ("c", None), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, v int").repartition(5)
+    got = defaultdict(list)
+    for r in number_copies(df, ["k", "v"], "copy").collect():
+        got[r.k, r.v].append(r["copy"])
+    assert {k: sorted(v) for k, v in got.items()} == {k: list(range(n)) for k, n in Counter(rows).items()}
+
+
 def test_splitting_tree_keeps_quotas(spark, monkeypatch):
     monkeypatch.setattr(mixing, "TREE_DEPTH", 2)  # several calls
     quotas = {0: 1000, 1: 37, 2: 1, 3: 0}
@@ -286,3 +312,19 @@ def test_site_lines(spark):
     assert site_lines.digest(pages.where("false")).collect() == []
     extra = site_lines.strip(pages.withColumn("key", F.lit(1)).withColumn("_row", F.lit(2)))
     assert extra.count() == len(rows) and {"key", "_row"} <= set(extra.columns)
+
+
+def test_site_lines_of_small_hosts_and_taken_names(spark):
+    rows = [(1, "http://s.example/a", "<p>Menu<p>one"), (2, "http://s.example/b", "<p>Menu<p>two"), (3, "http://t.example/", "<p>Menu<p>Menu")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: [x for x in r.text.split("\n") if x] for r in site_lines.digest(pages).collect()}
+    assert got == {1: ["one"], 2: ["two"], 3: ["Menu", "Menu"]}  # one page repeats no line
+    for name in ("host", "Host", "TEXT", "n_lines"):
+        with pytest.raises(ValueError):
+            site_lines.strip(pages.withColumn(name, F.lit(1)))
+    with pytest.raises(ValueError):
+        sharding.place(pages.withColumn("Slot", F.lit(1)), F.col("page_id"), ["a", "b"])
+    with pytest.raises(ValueError):
+        language.predict(pages.withColumn("Score", F.lit(1)), {}, text_col="html")
+    long = spark.createDataFrame([(1, "http://u.example/", "<p>x" + "<script" * 30_000 + "<!--" * 30_000)], pages.schema)
+    assert site_lines.digest(long).first().text == "\nx\n"
