@@ -1,15 +1,16 @@
 """N-gram Jaccard self-join by prefix trees, and the groups it links.
 
 A document's set is its different word n-grams, as 58-bit hashes in one global order:
-n-grams that stand in few documents first (by counts in a fixed number of hashed
-counters), then by hash. Two documents link when the Jaccard similarity of their
+n-grams that stand in few documents first, then by hash. Two documents link when the Jaccard similarity of their
 sets is at least ``percent`` / 100. Every link between different sets is found or
 implied: the result is the connected groups, without listing pairs inside them.
 
-1. Texts are read once for the counters and a 128-bit digest of each set. Rows of
+1. Texts are read once for a 128-bit digest of each set, and stored in packed chunks. Rows of
    equal sets are one class, found by an aggregation that combines below the shuffle.
-2. For each class, the first n - ceil(t n) + 1 elements (two linked sets share one)
-   are posted. Postings of one element form a group; groups of equal members (by two
+2. Chunks send their n-grams to hashed buckets in packed messages; buckets count the
+   documents of each and answer with its rank, the logarithm of that number. Of each class,
+   the first n - ceil(t n) + 1 elements in that order (two linked sets share one)
+   are posted, but for those of one document, which link nothing. Postings of one element form a group; groups of equal members (by two
    xor digests and their number) are kept once, groups of one are dropped. A group
    over ``BLOCK`` members is dealt into blocks that meet pairwise.
 3. A task compares a group's members by length and by parity sketches, whose distance
@@ -22,8 +23,7 @@ implied: the result is the connected groups, without listing pairs inside them.
 5. Where a proposed pair fails, all pairs of its groups that the sketches allow and
    that are not in one component yet are verified too. So no link is lost.
 6. Components are labelled by rounds of least neighbours and pointer jumping, each
-   stored in the shared folder. Nothing but counts and the counters (a fixed
-   ``SLOTS`` numbers) reaches the driver.
+   stored in the shared folder. Nothing but counts reaches the driver.
 
 Cases: a null or empty text has an empty set and is linked with nothing; a text of
 fewer words than n is one n-gram. Rows without an id get no component. Rows of the
@@ -34,10 +34,10 @@ gives no rows. Extra columns pass through ``deduplicated``.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -45,9 +45,11 @@ from pyspark.sql import functions as F
 
 from .common import free_name, materialize, slices
 
-SLOTS = 1 << 18
-_SLICES = 16
 BLOCK = 4096
+#: Bytes of text in a chunk, n-grams in a bucket, and the most partitions that buckets are dealt to.
+CHUNK_BYTES = 2 << 20
+BUCKET = 1 << 21
+MOST_PARTITIONS = 100_000
 #: Members of a class verified in one trie.
 TRIE = 256
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -124,46 +126,123 @@ def _digest(x: np.ndarray) -> bytes:
     return hashlib.blake2b(x.tobytes(), digest_size=16).digest()
 
 
-def _survey(n: int):
-    """Class digest and size of every document, and this task's counters."""
+def _survey(n: int, chunk_bytes: int):
+    """Class digest and size of every document; and the documents in chunks, packed, for the passes to come."""
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, counts = Shingler(n), np.zeros(SLOTS, dtype=np.uint32)
-        names = ["doc_id", "n", "c", "slice", "counts"]
-
-        def rows(ids, sizes, digests, parts, values):
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip((ids, sizes, digests, parts, values), types, strict=True)], names=names
-            )
-
+        shingles, zstd = Shingler(n), zstandard.ZstdCompressor(level=3)
+        ids, digests, texts, held = [], [], [], 0
+
+        def chunk() -> pa.RecordBatch:
+            # Numbered at random; the table is stored before anything asks for a number.
+            number = int.from_bytes(os.urandom(8), "big", signed=True)
+            lengths, payload = [len(t) for t in texts], zstd.compress(b"".join(texts))
+            values = [[None], [None], [None], [number], [ids[:]], [digests[:]], [lengths], [payload]]
+            for column in (ids, digests, texts):
+                column.clear()
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names=names)
+
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary()]
+        names = [part.split()[0] for part in _SURVEY.split(", ")]
         for batch in slices(batches, "text", 8 << 20):
-            sets = [shingles(t) for t in batch.column(1).to_pylist()]
-            for s in sets:
-                counts += np.bincount((s % SLOTS).astype(np.int64), minlength=SLOTS).astype(np.uint32) if len(s) > 4096 else 0
-            small = [s for s in sets if len(s) <= 4096]
-            if small:
-                counts += np.bincount((np.concatenate(small) % SLOTS).astype(np.int64), minlength=SLOTS).astype(np.uint32)
+            given, sets = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)), []
+            for doc_id, text in given:
+                s = shingles(text)
+                sets.append((doc_id, len(s), _digest(s) if len(s) else None))
+                if len(s) and doc_id is not None:
+                    data = text.encode("utf-8", "replace")
+                    ids.append(doc_id)
+                    digests.append(sets[-1][2])
+                    texts.append(data)
+                    held += len(data)
+                    if held >= chunk_bytes:
+                        yield chunk()
+                        held = 0
             none = [None] * len(sets)
-            yield rows(batch.column(0).to_pylist(), [len(s) for s in sets], [_digest(s) if len(s) else None for s in sets], none, none)
-        if counts.any():
-            zstd = zstandard.ZstdCompressor(level=1)
-            none = [None] * _SLICES
-            yield rows(none, none, none, range(_SLICES), [zstd.compress(p.tobytes()) for p in np.split(counts, _SLICES)])
+            values = [*zip(*sets, strict=True), none, none, none, none, none]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names=names)
+        if ids:
+            yield chunk()
 
     return survey
 
 
-def _add(part: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(SLOTS // _SLICES, dtype=np.uint64)
-    for data in part["counts"]:
-        total += np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint32)
-    return pd.DataFrame({"slice": part["slice"].iloc[:1], "counts": [total.tobytes()]})
+_SURVEY = "doc_id bigint, n bigint, c binary, chunk bigint, ids array<bigint>, digests array<binary>, lengths array<bigint>, payload binary"
+
+
+def _sets_of(row: dict, shingles: Shingler, zstd: zstandard.ZstdDecompressor) -> list[np.ndarray]:
+    data, out, at = zstd.decompress(row["payload"]), [], 0
+    for length in row["lengths"]:
+        out.append(shingles(data[at : at + length].decode()))
+        at += length
+    return out
+
 
+def _elements(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of a chunk, cut to 48 bits, in order, and how many of its documents hold each."""
+    return np.unique(np.concatenate(sets) >> np.uint64(10), return_counts=True)
 
-def ordered(s: np.ndarray, rarity: np.ndarray) -> np.ndarray:
-    """A set in the global order: the elements carry the rank of their counter above their hash."""
-    return np.sort(s | rarity[(s % SLOTS).astype(np.int64)] << np.uint64(58))
+
+def _edges(buckets: int) -> np.ndarray:
+    """Where each bucket of n-grams begins."""
+    return np.array([-(-(b << 48) // buckets) for b in range(buckets)], dtype=np.uint64)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Differences of ascending numbers, byte by byte, so that the high bytes, all zero, cost nothing."""
+    return np.diff(x, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _ask(n: int, buckets: int):
+    """Each chunk's n-grams as one packed message per bucket."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, unzip, zstd, edges = Shingler(n), zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1), _edges(buckets)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                keys, counts = _elements(_sets_of(row, shingles, unzip))
+                cuts = np.append(np.searchsorted(keys, edges), len(keys)).tolist()
+                sent = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(sent, pa.int64()),
+                        pa.array([row["chunk"]] * len(sent), pa.int64()),
+                        pa.array([zstd.compress(_planes(keys[cuts[b] : cuts[b + 1]])) for b in sent], pa.binary()),
+                        pa.array([zstd.compress(np.minimum(counts[cuts[b] : cuts[b + 1]], 255).astype(np.uint8).tobytes()) for b in sent], pa.binary()),
+                    ],
+                    names=["bucket", "chunk", "grams", "counts"],
+                )
+
+    return ask
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each message the ranks of its n-grams: 0 for those of one document, else one more than
+    the logarithm of the number of documents, 15 at most."""
+    unzip, zstd = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+    for table in _groups(batches, 1):
+        edges = _bounds(table, 1)
+        for low, high in zip(edges[:-1], edges[1:], strict=True):
+            part = table.slice(low, high - low)
+            messages = [_from_planes(unzip.decompress(g)) for g in part.column("grams").to_pylist()]
+            counts = np.concatenate([np.frombuffer(unzip.decompress(c), np.uint8) for c in part.column("counts").to_pylist()])
+            _, at = np.unique(np.concatenate(messages), return_inverse=True)
+            held = np.bincount(at, counts)
+            rank = np.where(held < 2, 0, np.minimum(15, 1 + np.floor(np.log2(np.maximum(held, 1))))).astype(np.uint8)[at]
+            ends = np.cumsum([len(m) for m in messages])[:-1]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(part.column("chunk").to_pylist(), pa.int64()),
+                    pa.array(part.column("bucket").to_pylist(), pa.int64()),
+                    pa.array([zstd.compress(r.tobytes()) for r in np.split(rank, ends)], pa.binary()),
+                ],
+                names=["chunk", "bucket", "ranks"],
+            )
 
 
 def sketch(s: np.ndarray) -> bytes:
@@ -172,21 +251,29 @@ def sketch(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount((s % bits).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
-def _profile(n: int, percent: int, rarity):
-    """What is posted of a document: its prefix and sketch."""
+def _profile(n: int, percent: int):
+    """What is posted of the documents of a chunk: those of their prefix that stand in other documents, and a sketch."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(n)
-        for batch in slices(batches, "text", 8 << 20):
+        shingles, unzip = Shingler(n), zstandard.ZstdDecompressor()
+        for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                s = shingles(text)
-                size = len(s)
-                if 100 * size < percent * (size + 1):
-                    continue  # too small to link with another set
-                first = size - (-(-percent * size // 100)) + 1
-                line = ordered(s, rarity.value)
-                out.append((doc_id, _digest(s), size, line[:first].view(np.int64).tolist(), sketch(s)))
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                sets = _sets_of(row, shingles, unzip)
+                keys, _ = _elements(sets)
+                answers = sorted((a["bucket"], a["ranks"]) for a in row["answers"])
+                ranks = np.concatenate([np.frombuffer(unzip.decompress(r), np.uint8) for _, r in answers]).astype(np.uint64)
+                for doc_id, c, s in zip(row["ids"], row["digests"], sets, strict=True):
+                    size = len(s)
+                    if 100 * size < percent * (size + 1):
+                        continue  # too small to link with another set
+                    first = size - (-(-percent * size // 100)) + 1
+                    rank = ranks[np.searchsorted(keys, s >> np.uint64(10))]
+                    prefix = np.sort(s | rank << np.uint64(58))[:first]
+                    posted = prefix[prefix > _LOW]
+                    if len(posted):
+                        out.append((doc_id, c, size, posted.view(np.int64).tolist(), sketch(s)))
             if out:
                 types = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
@@ -344,7 +431,7 @@ class Trie:
         return out
 
 
-def _verify(n: int, percent: int, rarity):
+def _verify(n: int, percent: int):
     """Links among the pairs (a, member): per (a, salt), one row of a's text and rows of members' texts."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,7 +445,7 @@ def _verify(n: int, percent: int, rarity):
                 for r in rows:
                     s = shingles(zstd.decompress(r["packed"]).decode())
                     if _digest(s) == r["c"]:  # else another text of the same id
-                        sets[r["rid"]] = ordered(s, rarity.value)
+                        sets[r["rid"]] = s
                 members = [(name, s) for name, s in sets.items() if name != a]
                 if a in sets and members:
                     found += [(a, b) for b in Trie(members).linked(sets[a], percent)]
@@ -403,37 +490,54 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return out.where("of_a <> of_b").drop("of_a", "of_b")
 
 
+def discard(stored: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more."""
+    files = stored.inputFiles()
+    if files:
+        spark = stored.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class Join:
     """The join of a table's texts."""
 
     def __init__(self, docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text"):
         self.spark, self.n, self.percent = docs.sparkSession, n, percent
         self.docs = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-        seen = materialize(
-            self.docs.mapInArrow(_survey(n), "doc_id bigint, n bigint, c binary, slice int, counts binary"), "survey"
-        )
-        self.rows = seen.where("n is not null").select("doc_id", "n", "c")
-        sums = seen.where("slice is not null").select("slice", "counts").groupBy("slice").applyInPandas(_add, "slice int, counts binary")
-        counts = np.zeros(SLOTS, dtype=np.uint64)
-        for part, data in sums.collect():  # SLOTS numbers, whatever the data
-            counts[part * (SLOTS // _SLICES) : (part + 1) * (SLOTS // _SLICES)] = np.frombuffer(data, np.uint64)
-        rarity = np.ceil(np.log2(counts.astype(float) + 1)).astype(np.uint64)
-        self.rarity = self.spark.sparkContext.broadcast(np.minimum(rarity, np.uint64(31)))
+        self.survey = materialize(self.docs.mapInArrow(_survey(n, CHUNK_BYTES), _SURVEY), "survey")
+        self.rows = materialize(self.survey.where("n is not null").select("doc_id", "n", "c"), "rows")
         self.classes = materialize(
             self.rows.where("c is not null and doc_id is not null").groupBy("c").agg(F.min("doc_id").alias("least")), "classes"
         )
         self.groups = self._join()
 
+    def _ranked(self) -> DataFrame:
+        """The chunks with the ranks of their n-grams, by true numbers of documents.
+
+        Chunks send their n-grams to the buckets these fall in, and the buckets answer. A
+        bucket holds about ``BUCKET`` n-grams, so their number grows with the data.
+        """
+        chunks = self.survey.where("chunk is not null").select("chunk", "ids", "digests", "lengths", "payload")
+        grams = self.rows.agg(F.sum("n")).first()[0] or 0
+        buckets = max(1, -(-grams // BUCKET))
+        asked = chunks.mapInArrow(_ask(self.n, buckets), "bucket bigint, chunk bigint, grams binary, counts binary")
+        dealt = asked.repartition(min(buckets, MOST_PARTITIONS), "bucket").sortWithinPartitions("bucket")
+        answers = dealt.mapInArrow(_answer, "chunk bigint, bucket bigint, ranks binary")
+        of_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "ranks")).alias("answers"))
+        return chunks.join(of_chunk, "chunk")
+
     def _join(self) -> DataFrame:
         """(c, component): the least document of what each class is linked with."""
         profiles = (
-            self.docs.where("doc_id is not null")
-            .mapInArrow(_profile(self.n, self.percent, self.rarity), "doc_id bigint, c binary, n bigint, prefix array<bigint>, sketch binary")
+            self._ranked()
+            .mapInArrow(_profile(self.n, self.percent), "doc_id bigint, c binary, n bigint, prefix array<bigint>, sketch binary")
             .groupBy("c")
             .agg(F.min(F.struct("doc_id", "n", "prefix", "sketch")).alias("p"))
             .select("c", "p.*")
         )
         self.sets = materialize(profiles.withColumn("rid", F.monotonically_increasing_id()), "profiles")
+        discard(self.survey)
         sizes = self.sets.select("rid", "n", "sketch")
         postings = self.sets.select("rid", F.explode("prefix").alias("token"))
         tokens = (
@@ -524,7 +628,7 @@ class Join:
         found = (
             keyed.repartition("a", "salt")
             .sortWithinPartitions("a", "salt")
-            .mapInArrow(_verify(self.n, self.percent, self.rarity), "a bigint, b bigint")
+            .mapInArrow(_verify(self.n, self.percent), "a bigint, b bigint")
         )
         return materialize(found.distinct(), "links")
 

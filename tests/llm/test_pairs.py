@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 import re
 
 import numpy as np
@@ -36,8 +37,10 @@ def groups(rows, n, percent):
     return sorted((i, len(s), least[find(k)]) for k, (i, s) in enumerate(items))
 
 
-@pytest.mark.parametrize("n, percent", [(3, 90), (5, 80)])
-def test_set_join(odd, odd_rows, n, percent):
+@pytest.mark.parametrize("n, percent, chunk, bucket", [(3, 90, 2 << 20, 1 << 21), (5, 80, 2 << 20, 1 << 21), (3, 90, 1000, 500)])
+def test_set_join(odd, odd_rows, monkeypatch, n, percent, chunk, bucket):
+    monkeypatch.setattr(set_join, "CHUNK_BYTES", chunk)  # the last: many chunks ask many buckets
+    monkeypatch.setattr(set_join, "BUCKET", bucket)
     got = set_join.Join(odd, n, percent).labelled().collect()
     want = groups([(r[0], r[1]) for r in odd_rows if r[0] is not None], n, percent)
     assert sorted(tuple(r) for r in got if r.doc_id is not None) == want
@@ -68,6 +71,34 @@ def test_set_join_of_a_large_group(spark, monkeypatch):
     assert len({g for _, _, g in got}) > 1
 
 
+def test_ranks_are_true_numbers_of_documents(spark, monkeypatch):
+    """Ranks from packed messages are those of plain counts, whatever the chunks and buckets."""
+    monkeypatch.setattr(set_join, "CHUNK_BYTES", 400)
+    monkeypatch.setattr(set_join, "BUCKET", 40)
+    rng = random.Random(8)
+    texts = [" ".join(f"w{int(rng.expovariate(0.1))}" for _ in range(rng.randrange(2, 40))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    shingles, counts = set_join.Shingler(2), Counter()
+    for t in texts:
+        counts.update(shingles(t).tolist())
+
+    class Ranked(set_join.Join):
+        def _join(self):
+            return self.classes
+
+    join = Ranked(docs, 2, 80)
+    rows = join._ranked().collect()
+    unzip = set_join.zstandard.ZstdDecompressor()
+    assert len(rows) > 5 and max(len(r.answers) for r in rows) > 5
+    for r in rows:
+        sets = set_join._sets_of(r.asDict(), shingles, unzip)
+        keys, _ = set_join._elements(sets)
+        ranks = b"".join(unzip.decompress(bytes(a.ranks)) for a in sorted(r.answers, key=lambda a: a.bucket))
+        for x in {g for s in sets for g in s.tolist()}:
+            got = ranks[int(np.searchsorted(keys, np.uint64(x >> 10)))]
+            assert got == (0 if counts[x] < 2 else min(15, counts[x].bit_length()))
+
+
 def test_set_join_of_nothing(nothing):
     assert set_join.digest(nothing).collect() == []
     assert set_join.deduplicated(nothing).collect() == []
