@@ -33,6 +33,7 @@ gives no rows. Extra columns pass through ``deduplicated``.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 from collections.abc import Iterator
@@ -40,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import free_name, materialize, slices
@@ -499,6 +500,16 @@ def discard(stored: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let go of the shuffle files behind what is stored by now.
+
+    They are deleted once the driver's garbage collection finds that no plan refers to them,
+    which by itself may be long after the disks are full.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class Join:
     """The join of a table's texts."""
 
@@ -527,17 +538,21 @@ class Join:
         of_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "ranks")).alias("answers"))
         return chunks.join(of_chunk, "chunk")
 
-    def _join(self) -> DataFrame:
-        """(c, component): the least document of what each class is linked with."""
-        profiles = (
+    def _profiles(self) -> DataFrame:
+        """What is posted of each class, by one of its documents."""
+        return (
             self._ranked()
             .mapInArrow(_profile(self.n, self.percent), "doc_id bigint, c binary, n bigint, prefix array<bigint>, sketch binary")
             .groupBy("c")
             .agg(F.min(F.struct("doc_id", "n", "prefix", "sketch")).alias("p"))
             .select("c", "p.*")
         )
-        self.sets = materialize(profiles.withColumn("rid", F.monotonically_increasing_id()), "profiles")
+
+    def _join(self) -> DataFrame:
+        """(c, component): the least document of what each class is linked with."""
+        self.sets = materialize(self._profiles().withColumn("rid", F.monotonically_increasing_id()), "profiles")
         discard(self.survey)
+        tidy(self.spark)
         sizes = self.sets.select("rid", "n", "sketch")
         postings = self.sets.select("rid", F.explode("prefix").alias("token"))
         tokens = (
@@ -583,7 +598,10 @@ class Join:
         """(a, b, token) of pairs that may link."""
         keys = ["token", "i", "j"]
         dealt = members.select(*keys, "rid", "n", "comp", "sketch").repartition(*keys).sortWithinPartitions(*keys)
-        return materialize(dealt.mapInArrow(_forest(self.percent, every), "a bigint, b bigint, token bigint"), "proposed")
+        proposed = materialize(dealt.mapInArrow(_forest(self.percent, every), "a bigint, b bigint, token bigint"), "proposed")
+        del dealt, members
+        tidy(self.spark)
+        return proposed
 
     def _verified(self, proposed: DataFrame, known: DataFrame | None, tried: DataFrame | None):
         """Links found among proposed pairs with those ``known``, tokens of pairs that failed, and pairs tried.
@@ -630,7 +648,11 @@ class Join:
             .sortWithinPartitions("a", "salt")
             .mapInArrow(_verify(self.n, self.percent), "a bigint, b bigint")
         )
-        return materialize(found.distinct(), "links")
+        links = materialize(found.distinct(), "links")
+        discard(wanted)
+        del found, keyed, lines, dealt, salts, wanted
+        tidy(self.spark)
+        return links
 
     def labelled(self) -> DataFrame:
         """(doc_id, n_shingles, component_id) of every row."""
