@@ -2,8 +2,8 @@
 
 import hashlib
 import random
-import re
 from collections import Counter
+import re
 
 import numpy as np
 import pytest
