@@ -40,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_name, materialize, slices
@@ -52,6 +52,9 @@ BUCKET = 1 << 21
 MOST_PARTITIONS = 100_000
 #: Members of a class verified in one trie.
 TRIE = 256
+#: Most bits of a sieve of ids (8 MB), and how many an id gets below that.
+SIEVE_BITS = 1 << 26
+BITS_AN_ID = 16
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _LOW = np.uint64((1 << 58) - 1)
 
@@ -490,6 +493,27 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return out.where("of_a <> of_b").drop("of_a", "of_b")
 
 
+def sifted(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose key may be among those ``wanted``, told before they are shuffled.
+
+    Hashes of the wanted keys are set in a bitmap, broadcast as a table of at most ``SIEVE_BITS``
+    / 32,768 pieces of 4 KB, whatever the number of keys. No wanted row is lost; of the others a
+    share passes, about one in ``BITS_AN_ID`` up to four million keys and more beyond, so an exact join has to follow.
+    """
+    bits = min(SIEVE_BITS, 1 << max(15, (BITS_AN_ID * wanted.count()).bit_length()))
+
+    def place(name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(bits)) + 1
+
+    sieve = wanted.groupBy(F.bitmap_bucket_number(place(key)).alias("_piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place(key))).alias("_bits")
+    )
+    at = F.bitmap_bit_position(place(key))
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = F.bitmap_bucket_number(place(key)) == F.col("_piece")
+    return rows.join(F.broadcast(sieve), held & (F.getbit(byte, (at % 8).cast("int")) == 1)).select(*rows.columns)
+
+
 def discard(stored: DataFrame) -> None:
     """Delete a stored table that nothing reads any more."""
     files = stored.inputFiles()
@@ -611,9 +635,12 @@ class Join:
         tokens = proposed.join(failed, ["a", "b"], "left_semi").select("token").distinct()
         return links, labels, materialize(tokens, "failed-tokens"), done
 
-    def _texts(self) -> DataFrame:
-        """(doc_id, packed): texts as they travel, packed to a third of their size and a quarter of their sets'."""
-        known = self.docs.where("doc_id is not null and text is not null")
+    def _texts(self, wanted: DataFrame) -> DataFrame:
+        """(doc_id, packed): texts as they travel, packed to a third of their size and a quarter of their sets'.
+
+        Those of ``wanted``, and a few more that the join to come drops.
+        """
+        known = sifted(self.docs.where("doc_id is not null and text is not null"), wanted, "doc_id")
         return known.mapInArrow(_packed, "doc_id bigint, packed binary")
 
     def _links(self, pairs: DataFrame) -> DataFrame:
@@ -624,7 +651,7 @@ class Join:
             dealt.select("a", "salt", F.col("a").alias("rid")).distinct()
         )
         wanted = materialize(lines.join(self.sets.select("rid", "c", "doc_id"), "rid"), "wanted")
-        keyed = self._texts().join(wanted, "doc_id").select("a", "salt", "rid", "c", "packed")
+        keyed = self._texts(wanted).join(wanted, "doc_id").select("a", "salt", "rid", "c", "packed")
         found = (
             keyed.repartition("a", "salt")
             .sortWithinPartitions("a", "salt")
