@@ -181,14 +181,20 @@ def _sets_of(row: dict, shingles: Shingler, zstd: zstandard.ZstdDecompressor) ->
     return out
 
 
-def _elements(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams of a chunk, cut to 48 bits, in order, and how many of its documents hold each."""
-    return np.unique(np.concatenate(sets) >> np.uint64(10), return_counts=True)
+def key_bits(grams: int) -> int:
+    """Bits of an n-gram that are counted: with 64 times as many keys as n-grams, about one n-gram in 64
+    shares its key and gets the rank of both. All documents give it that rank, so no link is lost."""
+    return min(48, max(32, grams.bit_length() + 6))
 
 
-def _edges(buckets: int) -> np.ndarray:
+def _elements(sets: list[np.ndarray], bits: int = 48) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of a chunk, cut to ``bits`` bits, in order, and how many of its documents hold each."""
+    return np.unique(np.concatenate(sets) >> np.uint64(58 - bits), return_counts=True)
+
+
+def _edges(buckets: int, bits: int) -> np.ndarray:
     """Where each bucket of n-grams begins."""
-    return np.array([-(-(b << 48) // buckets) for b in range(buckets)], dtype=np.uint64)
+    return np.array([-(-(b << bits) // buckets) for b in range(buckets)], dtype=np.uint64)
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -200,15 +206,15 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def _ask(n: int, buckets: int):
+def _ask(n: int, buckets: int, bits: int):
     """Each chunk's n-grams as one packed message per bucket."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, unzip, zstd, edges = Shingler(n), zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1), _edges(buckets)
+        shingles, unzip, zstd, edges = Shingler(n), zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1), _edges(buckets, bits)
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                keys, counts = _elements(_sets_of(row, shingles, unzip))
+                keys, counts = _elements(_sets_of(row, shingles, unzip), bits)
                 cuts = np.append(np.searchsorted(keys, edges), len(keys)).tolist()
                 sent = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
                 yield pa.RecordBatch.from_arrays(
@@ -254,7 +260,7 @@ def sketch(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount((s % bits).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
-def _profile(n: int, percent: int):
+def _profile(n: int, percent: int, bits: int):
     """What is posted of the documents of a chunk: those of their prefix that stand in other documents, and a sketch."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +270,7 @@ def _profile(n: int, percent: int):
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 sets = _sets_of(row, shingles, unzip)
-                keys, _ = _elements(sets)
+                keys, _ = _elements(sets, bits)
                 answers = sorted((a["bucket"], a["ranks"]) for a in row["answers"])
                 ranks = np.concatenate([np.frombuffer(unzip.decompress(r), np.uint8) for _, r in answers]).astype(np.uint64)
                 for doc_id, c, s in zip(row["ids"], row["digests"], sets, strict=True):
@@ -272,7 +278,7 @@ def _profile(n: int, percent: int):
                     if 100 * size < percent * (size + 1):
                         continue  # too small to link with another set
                     first = size - (-(-percent * size // 100)) + 1
-                    rank = ranks[np.searchsorted(keys, s >> np.uint64(10))]
+                    rank = ranks[np.searchsorted(keys, s >> np.uint64(58 - bits))]
                     prefix = np.sort(s | rank << np.uint64(58))[:first]
                     posted = prefix[prefix > _LOW]
                     if len(posted):
@@ -544,8 +550,8 @@ class Join:
         """
         chunks = self.survey.where("chunk is not null").select("chunk", "ids", "digests", "lengths", "payload")
         grams = self.rows.agg(F.sum("n")).first()[0] or 0
-        buckets = max(1, -(-grams // BUCKET))
-        asked = chunks.mapInArrow(_ask(self.n, buckets), "bucket bigint, chunk bigint, grams binary, counts binary")
+        buckets, self.bits = max(1, -(-grams // BUCKET)), key_bits(grams)
+        asked = chunks.mapInArrow(_ask(self.n, buckets, self.bits), "bucket bigint, chunk bigint, grams binary, counts binary")
         dealt = asked.repartition(min(buckets, MOST_PARTITIONS), "bucket").sortWithinPartitions("bucket")
         answers = dealt.mapInArrow(_answer, "chunk bigint, bucket bigint, ranks binary")
         of_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "ranks")).alias("answers"))
@@ -553,9 +559,9 @@ class Join:
 
     def _join(self) -> DataFrame:
         """(c, component): the least document of what each class is linked with."""
+        ranked = self._ranked()
         profiles = (
-            self._ranked()
-            .mapInArrow(_profile(self.n, self.percent), "doc_id bigint, c binary, n bigint, prefix array<bigint>, sketch binary")
+            ranked.mapInArrow(_profile(self.n, self.percent, self.bits), "doc_id bigint, c binary, n bigint, prefix array<bigint>, sketch binary")
             .groupBy("c")
             .agg(F.min(F.struct("doc_id", "n", "prefix", "sketch")).alias("p"))
             .select("c", "p.*")

@@ -99,6 +99,55 @@ def test_ranks_are_true_numbers_of_documents(spark, monkeypatch):
             assert got == (0 if counts[x] < 2 else min(15, counts[x].bit_length()))
 
 
+def test_shared_keys_lose_no_link(spark, monkeypatch):
+    """With so few keys that most n-grams share one, only the order differs: the groups are those of brute force."""
+    monkeypatch.setattr(set_join, "key_bits", lambda grams: 6)
+    rng = random.Random(15)
+    rows = []
+    for i in range(0, 60, 3):
+        base = [f"w{rng.randrange(4000)}" for _ in range(rng.randrange(30, 90))]
+        rows.append((i, " ".join(base)))
+        for k in (1, 2):
+            edited = list(base)
+            for _ in range(k):
+                edited[rng.randrange(len(edited))] = "edited"
+            rows.append((i + k, " ".join(edited)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in set_join.Join(docs, 3, 80).labelled().collect())
+    assert got == sorted((d, n, g) for d, n, g in groups(rows, 3, 80))
+    assert 20 <= len({g for _, _, g in got}) < 60
+
+
+def test_sifted_loses_no_wanted_row(spark, monkeypatch):
+    rows = spark.range(-1000, 50000).selectExpr("id as doc_id", "'x' as text")
+    wanted = spark.range(-1000, 50000, 41).selectExpr("id as doc_id")
+    for most, least_dropped in ((1 << 26, 0.9), (1 << 15, 0.9), (8, 0.0)):
+        monkeypatch.setattr(set_join, "SIEVE_BITS", most)
+        out = set_join.sifted(rows, wanted.unionByName(wanted), "doc_id")
+        assert out.columns == rows.columns
+        got = [r.doc_id for r in out.collect()]
+        assert len(got) == len(set(got)) and set(range(-1000, 50000, 41)) <= set(got)
+        assert len(got) <= 1244 + (1 - least_dropped) * 51000
+    assert set_join.sifted(rows, wanted.limit(0), "doc_id").count() == 0
+
+
+def test_classes_of_many_rows_meet_no_shuffle(spark, monkeypatch):
+    """Rows of a class with more than its share of all rows, and rows without words, get the same groups."""
+    rows = [(i, "one text of a good many copies here") for i in range(100)] + [(100 + i, f"text {i} a{i} b{i}") for i in range(40)]
+    rows += [(200 + i, None if i % 2 else " ") for i in range(50)] + [(None, "one text of a good many copies here"), (7, "another text of that id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+    def by_id(found):
+        return sorted(((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in found.collect()))
+
+    results = []
+    for share in (4, 10**9, 1):  # the copies are broadcast; every class; none
+        monkeypatch.setattr(set_join, "HOT", share)
+        results.append(by_id(set_join.Join(docs, 3, 90).labelled()))
+    assert results[0] == results[1] == results[2] and len(results[0]) == len(rows)
+    assert all(r[3] == 0 for r in results[0] if r[1] < 100 and not r[0] and r[2] == 6)
+
+
 def test_set_join_of_nothing(nothing):
     assert set_join.digest(nothing).collect() == []
     assert set_join.deduplicated(nothing).collect() == []
