@@ -8,7 +8,8 @@ implied: the result is the connected groups, without listing pairs inside them.
 1. Texts are read once for a 128-bit digest of each set, and stored in packed chunks. Rows of
    equal sets are one class, found by an aggregation that combines below the shuffle.
 2. Chunks send their n-grams to hashed buckets in packed messages; buckets count the
-   documents of each and answer with its rank, the logarithm of that number. Of each class,
+   documents of each and answer with its rank, the logarithm of that number (about one n-gram
+   in 64 shares its key, and so its rank, with another). Of each class,
    the first n - ceil(t n) + 1 elements in that order (two linked sets share one)
    are posted, but for those of one document, which link nothing. Postings of one element form a group; groups of equal members (by two
    xor digests and their number) are kept once, groups of one are dropped. A group
@@ -19,7 +20,8 @@ implied: the result is the connected groups, without listing pairs inside them.
 4. Proposed pairs are verified: the members proposed to one class are put in a trie
    by their ordered sets, and the class's set walks it, sharing the overlap of common
    beginnings and leaving subtrees whose remaining lengths cannot reach the needed
-   overlap. A class with many members is dealt over tasks.
+   overlap. A class with many members is dealt over tasks. Only texts of proposed pairs
+   travel: a bitmap of bounded size tells the others before the shuffle.
 5. Where a proposed pair fails, all pairs of its groups that the sketches allow and
    that are not in one component yet are verified too. So no link is lost.
 6. Components are labelled by rounds of least neighbours and pointer jumping, each
@@ -59,6 +61,10 @@ _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F,
 _LOW = np.uint64((1 << 58) - 1)
 
 
+#: A class with more than one in so many of all rows is hot; there are fewer such classes than this.
+HOT = 1024
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * _M2
     x = (x ^ (x >> np.uint64(29))) * _M3
@@ -538,7 +544,10 @@ class Join:
         self.survey = materialize(self.docs.mapInArrow(_survey(n, CHUNK_BYTES), _SURVEY), "survey")
         self.rows = materialize(self.survey.where("n is not null").select("doc_id", "n", "c"), "rows")
         self.classes = materialize(
-            self.rows.where("c is not null and doc_id is not null").groupBy("c").agg(F.min("doc_id").alias("least")), "classes"
+            self.rows.where("c is not null and doc_id is not null")
+            .groupBy("c")
+            .agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")),
+            "classes",
         )
         self.groups = self._join()
 
@@ -666,8 +675,19 @@ class Join:
         return materialize(found.distinct(), "links")
 
     def labelled(self) -> DataFrame:
-        """(doc_id, n_shingles, component_id) of every row."""
-        return self.rows.join(self.groups, "c", "left").select(
+        """(doc_id, n_shingles, component_id) of every row.
+
+        Rows without words or an id need no group. Those of hot classes, fewer than ``HOT``, meet
+        them by broadcast, so that the shuffle of the rest puts no such class into one task.
+        """
+        most = self.rows.count() / HOT
+        hot = materialize(self.groups.join(self.classes.where(F.col("rows") > most).select("c"), "c"), "hot")
+        grouped = F.col("c").isNotNull() & F.col("doc_id").isNotNull()
+        rows = self.rows.where(grouped)
+        of_hot = rows.join(F.broadcast(hot), "c").select("doc_id", "n", "component")
+        of_rest = rows.join(F.broadcast(hot), "c", "left_anti").join(self.groups, "c", "left").select("doc_id", "n", "component")
+        of_none = self.rows.where(~grouped).select("doc_id", "n", F.lit(None).cast("bigint").alias("component"))
+        return of_hot.unionByName(of_rest).unionByName(of_none).select(
             "doc_id",
             F.col("n").alias("n_shingles"),
             F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
