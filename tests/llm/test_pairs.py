@@ -153,6 +153,24 @@ def test_set_join_of_nothing(nothing):
     assert set_join.deduplicated(nothing).collect() == []
 
 
+def test_sifted_gives_the_rest(spark):
+    rows = spark.range(3000).selectExpr("cast(id as int) doc_id", "id % 7 other")
+    gone = spark.range(0, 3000, 5).toDF("doc_id")
+    rest = {r.doc_id for r in set_join.sifted(rows, gone, "doc_id", "left_anti").collect()}
+    held = {r.doc_id for r in set_join.sifted(rows, gone, "doc_id").collect()}
+    assert rest | held == set(range(3000)) and not rest & held
+    assert set(range(0, 3000, 5)) <= held and len(held) < 1000
+
+
+def test_deduplicated_shuffles_only_doubtful_texts(spark, odd):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = set_join.deduplicated(odd.where("doc_id >= 20"), 5, 80)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
 def test_deduplicated_keeps_one_of_each_group(odd, odd_rows):
     out = set_join.deduplicated(odd, 5, 80)
     assert out.columns == odd.columns
