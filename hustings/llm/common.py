@@ -21,10 +21,22 @@ __all__ = [
 
 
 _shipped: set[str] = set()
+#: Most bytes of rows that go to a Python worker at once (one row at least): Spark's own 64 MB are held
+#: several times over, as vectors that double, as the worker's copy and as what it makes of them.
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower this session's bound on the bytes of an Arrow batch to ``BATCH_BYTES``; a lower one stays."""
+    held = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH_CONF))
+    if not 0 < held <= BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, as ``--py-files`` would, once per application."""
+    """Give the executors this package, as ``--py-files`` would, once per application, and bound the batches they take."""
+    bound_batches(spark)
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(__file__).resolve().parents[1]

@@ -1,10 +1,12 @@
 """The pipeline and the registered queries."""
 
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from hustings.llm import queries
+from hustings.llm.common import BATCH_BYTES, documents
 
 
 def test_stages_on_odd_rows(spark, odd, nothing, sf_dir):
@@ -52,3 +54,29 @@ def test_oracles(spark, sf_dir, name):
     assert sorted(names) == sorted(df.columns)
     got = sorted(tuple(repr(r[c]) for c in names) for r in df.collect())
     assert got == sorted(tuple(map(repr, row)) for row in cursor.fetchall())
+
+
+def test_batches_are_bounded(spark, sf_dir):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    def taken():
+        documents(spark, sf_dir)
+        rows = spark.range(0, 400, 1, 1).selectExpr("repeat('x', 100000) as text")
+        found = rows.mapInArrow(sizes, "rows long, bytes long").collect()
+        assert sum(r.rows for r in found) == 400
+        return max(r.bytes for r in found)
+
+    try:
+        spark.conf.set(name, "64m")
+        assert taken() <= BATCH_BYTES + 200_000
+        spark.conf.set(name, "1m")  # a lower bound stays
+        assert taken() <= (1 << 20) + 200_000
+        spark.conf.set(name, "300b")  # a row is never cut
+        assert 100_000 <= taken() <= 200_000
+    finally:
+        spark.conf.set(name, before)
