@@ -40,9 +40,9 @@ class Slice:
     facts: DataFrame
 
 
-def _facts(df: DataFrame, allowed: Column) -> list[Column]:
+def _facts(df: DataFrame, allowed: Column, sets: bool = True) -> list[Column]:
     """Partial provenance of the rows that are ``allowed``. Sets hold dataset and run ids:
-    few, however many rows a load has."""
+    few, however many rows a load has. Without ``sets``, these are left to the caller."""
 
     def of(name: str, kind: str) -> Column:
         return F.when(allowed, F.col(name)) if name in df.columns else F.lit(None).cast(kind)
@@ -50,10 +50,13 @@ def _facts(df: DataFrame, allowed: Column) -> list[Column]:
     estimated = F.lit(None).cast("bigint")
     if "publication_date_estimated" in df.columns:
         estimated = F.sum(F.when(allowed, F.coalesce("publication_date_estimated", F.lit(False)).cast("bigint")))
-    return [
-        F.count_if(allowed).alias("_rows"),
+    ids = [
         F.collect_set(of("dataset_id", "string")).alias("_datasets"),
         F.collect_set(of("ingestion_run_id", "string")).alias("_runs"),
+    ]
+    return [
+        F.count_if(allowed).alias("_rows"),
+        *(ids if sets else []),
         F.max(of("publication_date", "date")).cast("date").alias("_published"),
         estimated.alias("_estimated"),
     ]
@@ -127,11 +130,18 @@ def _newest_per_key(
 
 
 def _rows_of(df: DataFrame, purpose: str, values: Sequence[str], only: Column) -> Slice:
-    """The rows that are ``only``, each as often as it stands there; all others leave facts."""
+    """The rows that are ``only``, each as often as it stands there; all others leave facts.
+
+    There are nearly as many groups as used rows, so the ids of datasets and runs are keys rather
+    than sets: numbers and days alone are aggregated by hashing, sets would sort all rows."""
     values = [c for c in dict.fromkeys(values) if c in df.columns]
     used = F.coalesce(only, F.lit(False))
+    ids = {"_datasets": "dataset_id", "_runs": "ingestion_run_id"}
+    of_id = [(F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(name) for name, c in ids.items()]
     one = materialize(
-        df.groupBy(*[F.when(used, F.col(c)).alias(c) for c in values], used.alias("_used")).agg(*_facts(df, F.lit(True))),
+        df.groupBy(*[F.when(used, F.col(c)).alias(c) for c in values], used.alias("_used"), *of_id)
+        .agg(*_facts(df, F.lit(True), sets=False))
+        .withColumns({name: F.array_compact(F.array(name)) for name in ids}),
         f"slice-{purpose}",
     )
     # `_rows` counts equal rows: they are one group.

@@ -31,7 +31,7 @@ class Tables:
         return bridge.run_sql(self.spark, self.sf_dir, text)
 
     def many(self, names: str) -> dict[str, DataFrame]:
-        return {name: self(name) for name in names.split()}
+        return bridge.tables(self.spark, self.sf_dir, names.split())
 
 
 @dataclass(frozen=True)

@@ -1,5 +1,8 @@
 """Partitions that do not grow with the table, and the grouping of ballot lines by hashing."""
 
+from pyspark.sql import functions as F
+
+from hustings.operators import slices
 from hustings.plans import QUERIES, bridge
 from hustings.sources import normalize as N
 
@@ -64,3 +67,32 @@ def test_lines_are_not_sorted_to_be_grouped(spark):
     plan = N.collapse_modes(lines)._jdf.queryExecution().sparkPlan().toString().splitlines()
     grouping = [x for x in plan if "Aggregate" in x]
     assert "HashAggregate" in grouping[-1]
+
+
+def test_orders_of_states_are_joined_once(spark, sf_dir):
+    names = "turnout population election_results geography".split()
+    for name, df in bridge.tables(spark, sf_dir, names).items():
+        assert not any("customer" in f for f in df.inputFiles()), name
+        alone = bridge.table(spark, sf_dir, name)
+        assert df.schema == alone.schema
+        assert sorted(map(str, df.collect())) == sorted(map(str, alone.collect()))
+    joined = [n for n, sql in bridge.SQL.items() if "join customer on o_custkey" in sql]
+    assert len(joined) > 10
+    assert not any("join customer" in bridge.over_stored_orders(bridge.SQL[n]) for n in joined)
+
+
+def test_polls_are_grouped_by_hashing(spark):
+    rows = [(1, "a", "d1", "r1"), (1, "a", "d1", "r1"), (1, "a", "d2", None), (2, "b", "d1", "r2"), (3, "c", None, "r3")]
+    df = spark.createDataFrame(rows, "x int, state string, dataset_id string, ingestion_run_id string")
+    with_plans = []
+    keep = slices.materialize
+    try:
+        slices.materialize = lambda one, purpose: with_plans.append(one) or one
+        got = slices._rows_of(df, "t", ["state", "x"], F.col("x") < 3)
+    finally:
+        slices.materialize = keep
+    plan = with_plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    assert sorted(map(tuple, got.rows.collect())) == [("a", 1), ("a", 1), ("a", 1), ("b", 2)]
+    whole = slices.provenance({"f": slices.facts_of(df)}, {}, spark).collect()
+    assert slices.provenance({"f": got.facts}, {}, spark).collect() == whole
