@@ -3,35 +3,43 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import materialize, scratch_dir
 
 __all__ = [
-    "documents", "fold", "free_name", "materialize", "number_copies", "running", "scratch_dir", "table", "text_words", "words_of",
+    "documents", "few", "fold", "free_name", "giving_back", "materialize", "number_copies", "running", "scratch_dir", "table", "text_words", "words_of",
 ]
 
 
 _shipped: set[str] = set()
 #: Most bytes of rows that go to a Python worker at once (one row at least): Spark's own 64 MB are held
 #: several times over, as vectors that double, as the worker's copy and as what it makes of them.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Most rows that a scan of Parquet decodes at once: Spark's own 4,096 texts are vectors of many MB in each task,
+#: which double as they grow.
+SCAN_ROWS = 512
+_SCAN_CONF = "spark.sql.parquet.columnarReaderBatchSize"
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Lower this session's bound on the bytes of an Arrow batch to ``BATCH_BYTES``; a lower one stays."""
+    """Lower this session's bounds on an Arrow batch and on a scan's rows to those above; lower ones stay."""
     held = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH_CONF))
     if not 0 < held <= BATCH_BYTES:
         spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    if int(spark.conf.get(_SCAN_CONF)) > SCAN_ROWS:
+        spark.conf.set(_SCAN_CONF, str(SCAN_ROWS))
 
 
 def ship(spark: SparkSession) -> None:
@@ -104,6 +112,34 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             yield batch.slice(start, step)
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the machine; allocators keep it for themselves otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
+def giving_back(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``function``, which at the end of a task gives back what its worker has freed.
+
+    Workers are kept for the next task, of whatever stage: what one holds on to adds to all that follow.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return run
+
+
+def few(spark: SparkSession, rows: list[tuple[int, ...]], schema: str) -> DataFrame:
+    """A frame of a few rows of integers, read by the JVM alone; from a list, Spark starts Python workers to read it."""
+    kind = StructType.fromDDL(schema)
+    columns = zip(*rows, strict=True) if rows else [()] * len(kind)
+    return spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns], names=kind.names), kind)
+
+
 def running(df: DataFrame, order: list[str], sums: dict[str, str], rank: str | None = None) -> DataFrame:
     """Rank and exclusive running sums of a frame in the order of ``order``, without one task seeing all.
 
@@ -130,7 +166,7 @@ def running(df: DataFrame, order: list[str], sums: dict[str, str], rank: str | N
         before = [a + (b or 0) for a, b in zip(before, row[1:], strict=True)]
     names = [f"{part}_{i}" for i in range(1 + len(sums))]
     schema = f"`{part}` int, " + ", ".join(f"`{n}` long" for n in names)
-    base = df.sparkSession.createDataFrame(offsets, schema)
+    base = few(df.sparkSession, offsets, schema)
     window = Window.partitionBy(part).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     before_row = window.rowsBetween(Window.unboundedPreceding, -1)
     out = ranged.join(F.broadcast(base), part)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, materialize, slices, text_words
+from .common import free_name, giving_back, materialize, slices, text_words
 
 WINDOW = 13
 PART_BYTES = 4 << 20
@@ -166,7 +166,7 @@ def find(
             out = materialize(out, "scanned")
         # At most about part_bytes of text: checked above.
         held = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
-        out = out.mapInArrow(_scanner(held, text_col, names, window), out.schema)
+        out = out.mapInArrow(giving_back(_scanner(held, text_col, names, window)), out.schema)
     return out, names
 
 

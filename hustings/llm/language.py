@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, free_name, slices
+from .common import fold, free_name, giving_back, slices
 
 DIMS = 1024
 SEED = 7
@@ -116,7 +116,7 @@ def fit(
         F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")
     ).where("text is not null and lang is not null")
     rows = (
-        told.mapInArrow(_learn("text", "lang", dims, seed), "lang string, profile array<bigint>")
+        told.mapInArrow(giving_back(_learn("text", "lang", dims, seed)), "lang string, profile array<bigint>")
         .select("lang", F.posexplode("profile").alias("i", "x"))
         .groupBy("lang", "i")
         .agg(F.sum("x").alias("x"))
@@ -167,7 +167,7 @@ def predict(
     dims = len(next(iter(model.values()))) if model else DIMS
     out = docs.withColumns({names[0]: F.lit(None).cast("string"), names[1]: F.lit(None).cast("double")})
     held = docs.sparkSession.sparkContext.broadcast(model)
-    return out.mapInArrow(_guess(held, text_col, names, dims, seed, letterless), out.schema)
+    return out.mapInArrow(giving_back(_guess(held, text_col, names, dims, seed, letterless)), out.schema)
 
 
 def training(docs: DataFrame, doc_id: Column | None = None) -> DataFrame:

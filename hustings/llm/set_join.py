@@ -45,7 +45,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, materialize, slices
+from .common import free_name, giving_back, materialize, slices
 
 BLOCK = 4096
 #: Bytes of text in a chunk, n-grams in a bucket, and the most partitions that buckets are dealt to.
@@ -542,7 +542,7 @@ class Join:
     def __init__(self, docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text"):
         self.spark, self.n, self.percent = docs.sparkSession, n, percent
         self.docs = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-        self.survey = materialize(self.docs.mapInArrow(_survey(n, CHUNK_BYTES), _SURVEY), "survey")
+        self.survey = materialize(self.docs.mapInArrow(giving_back(_survey(n, CHUNK_BYTES)), _SURVEY), "survey")
         self.rows = materialize(self.survey.where("n is not null").select("doc_id", "n", "c"), "rows")
         self.classes = materialize(
             self.rows.where("c is not null and doc_id is not null")
@@ -561,9 +561,9 @@ class Join:
         chunks = self.survey.where("chunk is not null").select("chunk", "ids", "digests", "lengths", "payload")
         grams = self.rows.agg(F.sum("n")).first()[0] or 0
         buckets, self.bits = max(1, -(-grams // BUCKET)), key_bits(grams)
-        asked = chunks.mapInArrow(_ask(self.n, buckets, self.bits), "bucket bigint, chunk bigint, grams binary, counts binary")
+        asked = chunks.mapInArrow(giving_back(_ask(self.n, buckets, self.bits)), "bucket bigint, chunk bigint, grams binary, counts binary")
         dealt = asked.repartition(min(buckets, MOST_PARTITIONS), "bucket").sortWithinPartitions("bucket")
-        answers = dealt.mapInArrow(_answer, "chunk bigint, bucket bigint, ranks binary")
+        answers = dealt.mapInArrow(giving_back(_answer), "chunk bigint, bucket bigint, ranks binary")
         of_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "ranks")).alias("answers"))
         return chunks.join(of_chunk, "chunk")
 
@@ -571,7 +571,7 @@ class Join:
         """(c, component): the least document of what each class is linked with."""
         ranked = self._ranked()
         profiles = (
-            ranked.mapInArrow(_profile(self.n, self.percent, self.bits), "doc_id bigint, c binary, n bigint, prefix array<bigint>, sketch binary")
+            ranked.mapInArrow(giving_back(_profile(self.n, self.percent, self.bits)), "doc_id bigint, c binary, n bigint, prefix array<bigint>, sketch binary")
             .groupBy("c")
             .agg(F.min(F.struct("doc_id", "n", "prefix", "sketch")).alias("p"))
             .select("c", "p.*")
@@ -623,7 +623,7 @@ class Join:
         """(a, b, token) of pairs that may link."""
         keys = ["token", "i", "j"]
         dealt = members.select(*keys, "rid", "n", "comp", "sketch").repartition(*keys).sortWithinPartitions(*keys)
-        return materialize(dealt.mapInArrow(_forest(self.percent, every), "a bigint, b bigint, token bigint"), "proposed")
+        return materialize(dealt.mapInArrow(giving_back(_forest(self.percent, every)), "a bigint, b bigint, token bigint"), "proposed")
 
     def _verified(self, proposed: DataFrame, known: DataFrame | None, tried: DataFrame | None):
         """Links found among proposed pairs with those ``known``, tokens of pairs that failed, and pairs tried.
@@ -657,7 +657,7 @@ class Join:
         Those of ``wanted``, and a few more that the join to come drops.
         """
         known = sifted(self.docs.where("doc_id is not null and text is not null"), wanted, "doc_id")
-        return known.mapInArrow(_packed, "doc_id bigint, packed binary")
+        return known.mapInArrow(giving_back(_packed), "doc_id bigint, packed binary")
 
     def _links(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose sets link, stored."""
@@ -671,7 +671,7 @@ class Join:
         found = (
             keyed.repartition("a", "salt")
             .sortWithinPartitions("a", "salt")
-            .mapInArrow(_verify(self.n, self.percent), "a bigint, b bigint")
+            .mapInArrow(giving_back(_verify(self.n, self.percent)), "a bigint, b bigint")
         )
         return materialize(found.distinct(), "links")
 

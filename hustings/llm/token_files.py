@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import few, give_back, giving_back, materialize, slices
 
 MAGIC = b"BPT1"
 BLOCK_IDS = 1 << 16
@@ -217,6 +217,7 @@ def _writer(path: str, end_id: int, file_ids: int, block_ids: int, bits: bool):
                 doc = np.frombuffer(data + end, "<u4")
                 if names and size + len(doc) > file_ids:
                     yield flush()
+                    give_back()
                     seq, start, size, names, held = seq + 1, start + size, 0, [], []
                 names.append(doc_id)
                 held.append(doc)
@@ -242,10 +243,11 @@ def store(
     ordered = lines.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()
     )
-    return materialize(ordered.mapInArrow(_writer(tokenizer, end_id, file_ids, block_ids, bits), _FILE), "token-files")
+    return materialize(ordered.mapInArrow(giving_back(_writer(tokenizer, end_id, file_ids, block_ids, bits)), _FILE), "token-files")
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    _encoder.cache_clear()  # all is written by now
     for batch in batches:
         bases, data = batch.column(0), batch.column(1)
         for i in range(batch.num_rows):
@@ -266,11 +268,11 @@ def read_index(files: DataFrame) -> DataFrame:
     for part, n in totals:
         bases.append((part, before))
         before += n
-    base = files.sparkSession.createDataFrame(bases, "part int, base bigint")
+    base = few(files.sparkSession, bases, "part int, base bigint")
     return (
         files.join(F.broadcast(base), "part")
         .select((F.col("base") + F.col("start")).alias("base"), "data")
-        .mapInArrow(_reader, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+        .mapInArrow(giving_back(_reader), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
     )
 
 

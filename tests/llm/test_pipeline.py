@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from hustings.llm import queries
+from hustings.llm import common, queries, token_files
 from hustings.llm.common import BATCH_BYTES, documents
 
 
@@ -80,3 +80,41 @@ def test_batches_are_bounded(spark, sf_dir):
         assert 100_000 <= taken() <= 200_000
     finally:
         spark.conf.set(name, before)
+
+
+def test_scans_decode_few_rows_at_once(spark, sf_dir):
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "4096")
+        documents(spark, sf_dir)
+        assert int(spark.conf.get(name)) == common.SCAN_ROWS
+        spark.conf.set(name, "16")  # a lower bound stays
+        documents(spark, sf_dir)
+        assert int(spark.conf.get(name)) == 16
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_few_rows_need_no_python(spark):
+    for rows in ([(1, 5), (2, 1 << 40)], []):
+        df = common.few(spark, rows, "part int, base bigint")
+        assert [tuple(r) for r in df.collect()] == rows
+        assert df.dtypes == [("part", "int"), ("base", "bigint")]
+        assert "PythonRDD" not in df._jdf.rdd().toDebugString()
+
+
+def test_workers_give_back(monkeypatch):
+    done = []
+    monkeypatch.setattr(common, "give_back", lambda: done.append("given"))
+
+    def twice(batches):
+        for b in batches:
+            yield from (b, b)
+        done.append("read")
+
+    assert list(common.giving_back(twice)(iter([1, 2]))) == [1, 1, 2, 2]
+    assert done == ["read", "given"]
+    token_files._encoder(token_files.public_path())
+    list(token_files._reader(iter([])))
+    assert token_files._encoder.cache_info().currsize == 0
