@@ -34,6 +34,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -46,7 +47,7 @@ BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 20
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words that a worker remembers the ids of; beyond that it starts afresh.
+#: Words that a worker remembers the ids of; half of them are those used last, and the other half is forgotten for more.
 _WORDS = 700_000
 _HEAD = struct.Struct("<4sBBHIIIQ")
 
@@ -129,7 +130,16 @@ class TokenFile:
 
 #: Marks at the end of a word of letters. The tokenizer parts them from letters and keeps
 #: them together, so that a space between changes nothing.
-_MARKED = re.compile(rb"(?<=[a-z])[.,!%$&*#|]+(?=[ \t-\r]|\Z)")
+_MARKS = ".,!%$&*#|"
+#: Words of these are one word to the tokenizer, and one letter in lower case for each; the only other
+#: letter of the range, U+0130, has two.
+_LATIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The characters that stand for bytes, where they are others, in the vocabulary of a byte-level tokenizer."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {b: 0x100 + i for i, b in enumerate(sorted({*range(0x100)} - {*own}))}
 
 
 class _Encoder:
@@ -139,23 +149,31 @@ class _Encoder:
     letters, as the tokenizer lower-cases all but special tokens, and without marks at
     its end, which are words of their own. Plain letters are one word to the tokenizer
     and go to its model directly; all else passes the whole tokenizer in one string,
-    told apart by token offsets.
+    told apart by token offsets. Words are found and counted off by Arrow, so that
+    Python handles each different word of a batch once, and not each word.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = _byte_letters()
+        #: What was used last, and before that.
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
         tokenize, odd = self.tokenizer.model.tokenize, []
         for w in words:
             if w.isalpha():  # of bytes: ASCII letters
-                ids = [t.id for t in tokenize(w.decode())]
-                self.words[w] = struct.pack(f"<{len(ids)}I", *ids)
+                plain = w.decode()
+            elif _LATIN.fullmatch(text := w.decode("utf-8", "replace")):
+                plain = text.lower().encode().decode("latin-1").translate(self.letters)
             else:
                 odd.append(w)
+                continue
+            ids = [t.id for t in tokenize(plain)]
+            self.words[w] = struct.pack(f"<{len(ids)}I", *ids)
         for start in range(0, len(odd), 5000):
             part = odd[start : start + 5000]
             texts = [w.decode("utf-8", "replace") for w in part]
@@ -167,22 +185,61 @@ class _Encoder:
             for w, a, b in zip(part, cut[:-1], cut[1:], strict=True):
                 self.words[w] = ids[a:b]
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        lines = []
-        for text in texts:
-            data = (text or "").encode("utf-8", "replace")
-            if b"<|" in data:  # may spell a special token, which knows case
-                lines.append([w if b"<|" in w else w.lower() for w in data.split()])
-            else:
-                lines.append(_MARKED.sub(rb" \g<0>", data.lower()).split())
-        used: set[bytes] = set()
-        used.update(*lines)
-        new = used - self.words.keys()
-        if len(self.words) + len(new) > _WORDS:
-            self.words.clear()
-            new = used
-        self._learn(list(new))
-        return [b"".join(map(self.words.__getitem__, line)) for line in lines]
+    def _known(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words, of which new ones are learned."""
+        held = list(map(self.words.get, words))
+        missing = [i for i, ids in enumerate(held) if ids is None]
+        new = {words[i] for i in missing}
+        kept = {w: self.older[w] for w in new & self.older.keys()}
+        if len(self.words) + len(new) > _WORDS // 2:
+            self.older, self.words = self.words, {}
+        self.words.update(kept)
+        self._learn(list(new - kept.keys()))
+        for i in missing:
+            held[i] = self.words[words[i]]
+        return held
+
+    def _ids_of(self, words: pa.Array) -> list[bytes]:
+        """The ids of different words, marks at their ends apart."""
+        stems = pc.ascii_rtrim(words, characters=_MARKS)
+        sizes, kept = (pc.binary_length(x).to_numpy().astype(np.int64) for x in (words, stems))
+        marked = np.flatnonzero((sizes > kept) & (kept > 0) & ~pc.match_substring(words, "<|").to_numpy(zero_copy_only=False))
+        if len(marked):
+            last = np.frombuffer(stems.buffers()[2], np.uint8)[np.cumsum(kept)[marked] - 1]
+            marked = marked[(last >= ord("a")) & (last <= ord("z"))]
+        parts, marks = words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist(), []
+        for i, n in zip(marked.tolist(), kept[marked].tolist(), strict=True):
+            marks.append(parts[i][n:])
+            parts[i] = parts[i][:n]
+        held = self._known(parts)
+        for i, ids in zip(marked.tolist(), self._known(marks), strict=True):
+            held[i] += ids
+        return held
+
+    def ids(self, texts: list[str | None] | pa.Array, end_id: int | None = None) -> list[np.ndarray]:
+        """The ids of each text, and ``end_id`` after them."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(column):
+            return []
+        column = pc.fill_null(column.cast(pa.string()), "")
+        lowered, special = pc.ascii_lower(column), pc.match_substring(column, "<|")
+        if pc.any(special).as_py():  # may spell a special token, which knows case
+            rows = [t.encode().split() for t in column.filter(special).to_pylist()]
+            rows = [b" ".join(w if b"<|" in w else w.lower() for w in row).decode() for row in rows]
+            lowered = pc.replace_with_mask(lowered, special, pa.array(rows, pa.string()))
+        lines = pc.ascii_split_whitespace(lowered)
+        words = lines.values.dictionary_encode()
+        held = self._ids_of(words.dictionary)
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        table = np.frombuffer(b"".join([*held, bytes(4)]), "<u4")
+        begins, codes = np.cumsum(sizes) - sizes, words.indices.to_numpy()
+        n = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = table[np.repeat(begins[codes] - ends[:-1], n) + np.arange(ends[-1])]
+        cut = ends[lines.offsets.to_numpy()[1:]]
+        if end_id is not None:
+            ids, cut = np.insert(ids, cut, end_id), cut + np.arange(1, 1 + len(cut))
+        return np.split(ids, cut[:-1])
 
 
 @lru_cache(maxsize=1)
@@ -199,8 +256,6 @@ _ARROW = pa.schema(
 
 
 def _writer(path: str, end_id: int, file_ids: int, block_ids: int, bits: bool):
-    end = struct.pack("<I", end_id)
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = _encoder(path), TaskContext.get().partitionId()
         seq = start = size = 0
@@ -213,8 +268,7 @@ def _writer(path: str, end_id: int, file_ids: int, block_ids: int, bits: bool):
 
         for batch in slices(batches, "text", 2 << 20):
             ids = batch.column(0).to_pylist()
-            for doc_id, data in zip(ids, encoder.ids(batch.column(1).to_pylist()), strict=True):
-                doc = np.frombuffer(data + end, "<u4")
+            for doc_id, doc in zip(ids, encoder.ids(batch.column(1), end_id), strict=True):
                 if names and size + len(doc) > file_ids:
                     yield flush()
                     give_back()
